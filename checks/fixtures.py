@@ -19,15 +19,23 @@ RAW_MAPPING = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+# Naming the schema saves a read of file footers per table.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match per order, in the shape of the warehouse table."""
-    orders = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    customer = _table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = _table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    orders = _table(spark, sf_dir, "orders")
+    customer = _table(spark, sf_dir, "customer")
+    nation = _table(spark, sf_dir, "nation")
     hosts = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("host"))
     guests = nation.select(F.col("n_nationkey").alias("guest_key"), F.col("n_name").alias("guest"))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -56,7 +64,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same orders as dirty source text under foreign names; every 200th row comes twice."""
-    orders = _table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    orders = _table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
 
     def each(divisor: int) -> Column:

@@ -147,7 +147,7 @@ def _standardize_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _smoothed(window: int) -> Query:
-    return _on_enriched(lambda m: views.smooth_yearly(views.yearly_trends(m), window).orderBy("year"))
+    return _on_enriched(lambda m: views.smooth_yearly(views.yearly_trends(m), window))
 
 
 def queries() -> dict[str, Query]:
@@ -166,9 +166,9 @@ def queries() -> dict[str, Query]:
         "transform_audit": _on_raw(_audit),
         "score_coercion": _on_raw(_score_coercion),
         "neutral_normalization": _on_raw(_neutral_normalization),
-        "validation_report": _on_raw(lambda r: quality.validate_matches(_as_read(r), AS_OF)),
+        "validation_report": _on_raw(lambda r: quality.validate_matches(_as_read(r), AS_OF, stripped=True)),
         "validation_summary": _on_raw(
-            lambda r: quality.validation_summary(_as_read(r), AS_OF).drop("errors", "warnings")
+            lambda r: quality.validation_summary(_as_read(r), AS_OF, stripped=True).drop("errors", "warnings")
         ),
         "dataset_profile": _on_raw(lambda r: profile.dataset_profile(_as_read(r), "raw.csv")),
         "column_profile": _on_raw(lambda r: profile.column_profile(_as_read(r))),

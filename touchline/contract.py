@@ -104,8 +104,8 @@ WHITESPACE = (
 # Whole or fractional decimal text, with an optional exponent.
 NUMBER_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
-# Accepted date layouts: the text shape, then the pattern that parses it.
-DATE_FORMATS = ((r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),)
+# Accepted date layouts: the text shape, then the pattern that parses it (None: year-month-day).
+DATE_FORMATS = ((r"^\d{4}-\d{1,2}-\d{1,2}$", None),)
 
 RESULTS = ("Home win", "Draw", "Away win")
 

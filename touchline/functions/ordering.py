@@ -33,3 +33,11 @@ def tie_break(df: DataFrame) -> list[Column]:
     if "match_id" in df.columns:
         return [up("match_id")]
     return [up(c) for c in _NATURAL_KEY if c in df.columns]
+
+
+def sort_few(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Order a result whose size cannot grow with the data (one row per venue type, per year, per bin).
+
+    A global sort would first run a job to sample its ranges; a handful of rows needs none.
+    """
+    return df.repartition(1).sortWithinPartitions(*[up(k) if isinstance(k, str) else k for k in keys])

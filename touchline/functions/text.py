@@ -11,9 +11,18 @@ from pyspark.sql import types as T
 from touchline.contract import NA_TOKENS, WHITESPACE
 
 
+_ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
+
+
 def strip(text: Column) -> Column:
-    """Remove every Unicode blank from both ends; a plain SQL trim only removes spaces."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove every Unicode blank from both ends; a plain SQL trim only removes spaces.
+
+    The cost of a trim grows with its character set, so text without multi-byte characters
+    is trimmed with the short set.
+    """
+    ascii_only = F.octet_length(text) == F.length(text)
+    short, full = F.btrim(text, F.lit(_ASCII_WHITESPACE)), F.btrim(text, F.lit(WHITESPACE))
+    return F.when(ascii_only, short).otherwise(full)
 
 
 def blank_to_null(text: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:

@@ -34,9 +34,22 @@ class Outcome:
 
 @dataclass
 class RuleSet:
+    """helpers: columns computed once per row, before the counts that share them."""
+
+    helpers: dict[str, Column] = field(default_factory=dict)
     counts: dict[str, Column] = field(default_factory=dict)
     outcomes: list[Outcome] = field(default_factory=list)
 
+    def helper(self, name: str, value: Column) -> Column:
+        self.helpers[name] = value
+        return F.col(name)
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        """The frame with its helper columns in a projection of their own: the optimizer keeps costly
+        expressions apart from consumers that use them more than once.
+        """
+        return df.withColumns(self.helpers) if self.helpers else df
+
     def count(self, name: str, condition: Column) -> Column:
         self.counts[name] = F.count_if(condition).alias(name)
         return F.col(name)
@@ -52,8 +65,13 @@ class RuleSet:
         self.outcomes.append(Outcome(rule_id, severity, column, violations.cast("bigint"), text))
 
 
-def build_rules(df: DataFrame, as_of: date | None = None, duplicates: bool = True) -> RuleSet:
-    """The rules that apply to this frame's columns and types, errors before warnings."""
+def build_rules(
+    df: DataFrame, as_of: date | None = None, duplicates: bool = True, stripped: bool = False
+) -> RuleSet:
+    """The rules that apply to this frame's columns and types, errors before warnings.
+
+    stripped says that the text is trimmed already.
+    """
     rules = RuleSet()
     types = {f.name: f.dataType for f in df.schema.fields}
     rules.counts["row_count"] = F.count(F.lit(1)).alias("row_count")
@@ -66,11 +84,17 @@ def build_rules(df: DataFrame, as_of: date | None = None, duplicates: bool = Tru
 
     for name in C.REQUIRED:
         rules.error("V3", name, rules.count(f"null_{name}", F.col(name).isNull()), C.MSG_NULLS.format(name))
-    numbers = {name: parsing.parse_number(F.col(name), types[name]) for name in C.SCORES}
+    numbers = {
+        c: rules.helper(f"_number_{c}", parsing.parse_number(F.col(c), types[c], stripped)) for c in C.SCORES
+    }
     for name, number in numbers.items():
-        bad = number.isNull() | (number < 0) | parsing.is_fractional(number, types[name])
+        bad = number.isNull() | (number < 0) | parsing.is_fractional(number)
         rules.error("V5", name, rules.count(f"bad_{name}", bad), C.MSG_BAD_SCORE.format(name))
-    home, away = (strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("home_team", "away_team"))
+    text = {}
+    for i, c in enumerate(sorted({*string_columns(df), "home_team", "away_team"})):
+        value = ref(c).cast("string")
+        text[c] = rules.helper(f"_text_{i}", value if stripped else strip(value))
+    home, away = text["home_team"], text["away_team"]
     rules.error("V7", None, rules.count("same_team", (home != "") & (home == away)), C.MSG_SAME_TEAM)
     dated = parsing.is_date(types["date"])
     if dated:
@@ -78,7 +102,7 @@ def build_rules(df: DataFrame, as_of: date | None = None, duplicates: bool = Tru
     else:
         rules.error("V8", "date", F.lit(1), C.MSG_DATE_TYPE)
 
-    _blank_text(rules, df)
+    _blank_text(rules, {c: text[c] for c in sorted(string_columns(df))})
     for name, number in numbers.items():
         high = rules.count(f"high_{name}", number > C.SUSPICIOUS_SCORE)
         rules.warning("V6", name, high, C.MSG_HIGH_SCORE.format(name, C.SUSPICIOUS_SCORE))
@@ -92,19 +116,18 @@ def build_rules(df: DataFrame, as_of: date | None = None, duplicates: bool = Tru
     if duplicates:
         rules.warning("V12", None, F.col("duplicate_rows"), C.MSG_DUPLICATES)
     if "neutral" in types and not isinstance(types["neutral"], T.BooleanType):
-        text = F.lower(strip(F.col("neutral").cast("string")))
-        unknown = rules.count("unknown_neutral", ~text.isin(*C.NEUTRAL_KNOWN))
+        flag = text["neutral"] if "neutral" in text else F.col("neutral").cast("string")
+        unknown = rules.count("unknown_neutral", ~F.lower(flag).isin(*C.NEUTRAL_KNOWN))
         rules.warning("V13", "neutral", unknown, C.MSG_UNKNOWN_NEUTRAL)
     return rules
 
 
-def _blank_text(rules: RuleSet, df: DataFrame) -> None:
+def _blank_text(rules: RuleSet, text: dict[str, Column]) -> None:
     """One warning that names every text column holding a blank value, in alphabetical order."""
-    names = sorted(string_columns(df))
-    if not names:
+    if not text:
         return
-    found = [rules.count(f"blank_{i}", strip(ref(name)) == "") for i, name in enumerate(names)]
-    listed = F.concat_ws(", ", *[F.when(n > 0, F.lit(name)) for n, name in zip(found, names)])
+    found = [rules.count(f"blank_{i}", value == "") for i, value in enumerate(text.values())]
+    listed = F.concat_ws(", ", *[F.when(n > 0, F.lit(name)) for n, name in zip(found, text)])
     total = reduce(lambda a, b: a + b, found)
     rules.warning("V4", None, total, F.concat(F.lit(C.MSG_BLANK_TEXT), listed, F.lit(".")))
 
@@ -117,7 +140,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def rule_counts(df: DataFrame, rules: RuleSet, duplicates: bool = True) -> DataFrame:
     """The one-row counts frame: a single aggregate, with the duplicate count as a scalar subquery."""
-    counts = df.agg(*rules.counts.values())
+    counts = rules.prepare(df).agg(*rules.counts.values())
     if duplicates:
         counts = counts.withColumn("duplicate_rows", duplicate_rows(df).scalar())
     return counts
@@ -144,19 +167,24 @@ def messages_from(rules: RuleSet, severity: str, *first: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(*first, *found)))
 
 
-def validate_matches(df: DataFrame, as_of: date | None = None, duplicates: bool = True) -> DataFrame:
+def validate_matches(
+    df: DataFrame, as_of: date | None = None, duplicates: bool = True, stripped: bool = False
+) -> DataFrame:
     """(rule_id, severity, column, violations, message) for every violated rule.
 
     as_of replaces today's date in the future-date rule. duplicates=False skips the rule that shuffles.
+    stripped=True saves trimming text that a scan has trimmed already.
     """
-    rules = build_rules(df, as_of, duplicates)
+    rules = build_rules(df, as_of, duplicates, stripped)
     wanted = any(o.rule_id == "V12" for o in rules.outcomes)
     return report_from(rule_counts(df, rules, wanted), rules)
 
 
-def validation_summary(df: DataFrame, as_of: date | None = None, duplicates: bool = True) -> DataFrame:
+def validation_summary(
+    df: DataFrame, as_of: date | None = None, duplicates: bool = True, stripped: bool = False
+) -> DataFrame:
     """One row: is_valid, numbers and texts of errors and warnings, row and column counts."""
-    rules = build_rules(df, as_of, duplicates)
+    rules = build_rules(df, as_of, duplicates, stripped)
     wanted = any(o.rule_id == "V12" for o in rules.outcomes)
     return summary_from(rule_counts(df, rules, wanted), rules, len(df.columns))
 

@@ -39,8 +39,8 @@ AUDIT_SCHEMA = T.StructType(
 class Standardization:
     """The lazy pieces of one standardisation.
 
-    checked holds the contract columns with the scores still raw, plus the raw neutral value:
-    the rules have to see what conversion would hide.
+    checked holds the contract columns with the scores still raw, plus helper columns (the raw neutral
+    value, the scores as numbers): the rules have to see what conversion would hide.
     """
 
     source: DataFrame
@@ -67,13 +67,8 @@ class Standardization:
 
 
 def final_columns(checked: DataFrame) -> DataFrame:
-    types = {f.name: f.dataType for f in checked.schema.fields}
-    return checked.select(
-        *[
-            parsing.parse_score(F.col(c), types[c]).alias(c) if c in C.SCORES else F.col(c)
-            for c in C.CONTRACT
-        ]
-    )
+    scores = {c: parsing.whole(F.col(f"_number_{c}")).alias(c) for c in C.SCORES}
+    return checked.select(*[scores.get(c, F.col(c)) for c in C.CONTRACT])
 
 
 def plan_standardization(
@@ -87,9 +82,10 @@ def plan_standardization(
     types = {f.name: f.dataType for f in mapped.schema.fields}
     added = [c for c in C.OPTIONAL if c not in types]
     raw_neutral = F.col("neutral").cast("string") if "neutral" in types else F.lit(None).cast("string")
-    checked = mapped.select(*[_checked_column(c, types).alias(c) for c in C.CONTRACT], raw_neutral.alias("_neutral"))
-    rules = quality.build_rules(checked.drop("_neutral"), as_of, duplicates)
-    _conversion_rules(rules, types)
+    contract = [_checked_column(c, types).alias(c) for c in C.CONTRACT]
+    rules = quality.build_rules(mapped.select(*contract), as_of, duplicates, stripped=True)
+    _conversion_rules(rules)
+    checked = rules.prepare(mapped.select(*contract, raw_neutral.alias("_neutral")))
     return Standardization(df, mapping, [], checked, rules, added)
 
 
@@ -98,18 +94,17 @@ def _checked_column(name: str, types: dict[str, T.DataType]) -> Column:
     if name not in types:
         return F.lit(None).cast(target)
     if name == "date":
-        return parsing.parse_date(F.col(name), types[name])
+        return parsing.parse_date(F.col(name), types[name], stripped=True)
     if name == "neutral":
-        return parsing.normalize_neutral(F.col(name), types[name])
+        return parsing.normalize_neutral(F.col(name), types[name], stripped=True)
     return F.col(name) if name in C.SCORES else F.col(name).cast(target)
 
 
-def _conversion_rules(rules: quality.RuleSet, types: dict[str, T.DataType]) -> None:
+def _conversion_rules(rules: quality.RuleSet) -> None:
     """Counts behind the conversion messages, which come before the quality messages."""
     for name in C.SCORES:
-        number = parsing.parse_number(F.col(name), types[name])
-        unsafe = (F.col(name).isNotNull() & number.isNull()) | parsing.is_fractional(number, types[name])
-        rules.count(f"unsafe_{name}", unsafe)
+        number = F.col(f"_number_{name}")
+        rules.count(f"unsafe_{name}", (F.col(name).isNotNull() & number.isNull()) | parsing.is_fractional(number))
     rules.count("lost_neutral", F.col("_neutral").isNotNull() & F.col("neutral").isNull())
 
 
@@ -120,7 +115,8 @@ def audit_from(plan: Standardization, counts: DataFrame, source_file: str = "",
         return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
     ok = not plan.mapping_errors
-    renamed = F.create_map(*[F.lit(x) for t, s in plan.mapping.items() for x in (s, t)]) if plan.mapping else F.create_map()
+    by_source = {source: target for target, source in plan.mapping.items()}
+    renamed = F.create_map(*[F.lit(x) for pair in by_source.items() for x in pair])
     conversions, unsafe, lost = [], [], []
     if ok:
         conversions.append(F.lit(C.MSG_DID_DATE))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from touchline import contract as C
 from touchline.functions import labels
+from touchline.functions.numeric import row_count
+from touchline.functions.ordering import sort_few
 from touchline.operators.enrich import as_fact
 from touchline.operators.reshape import by_dimension
 
@@ -86,7 +88,7 @@ def _group_facts(matches: DataFrame, min_year_matches: int) -> tuple[DataFrame,
             ("city", F.col("city")),
             ("scoreline", labels.scoreline()),
         ],
-        F.count(F.lit(1)).alias("n"),
+        row_count().alias("n"),
         F.sum("goals").alias("goals"),
         F.count("goals").alias("scored"),
         carry=[labels.total_goals().alias("goals")],
@@ -132,4 +134,4 @@ def interesting_facts(matches: DataFrame, min_year_matches: int = C.MIN_YEAR_MAT
         rows = [F.struct(F.lit(p).alias("position"), fact.alias("fact")) for p, fact in facts.items()]
         part = found.select(F.inline(F.array(*rows))).select("position", "fact.*")
         lines = part if lines is None else lines.unionByName(part)
-    return lines.filter(F.col("fact_value").isNotNull()).orderBy("position").drop("position")
+    return sort_few(lines.filter(F.col("fact_value").isNotNull()), "position").drop("position")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline import contract as C
 from touchline.functions import labels
 from touchline.functions.numeric import exact_mean, exact_pct, exact_share, row_count
-from touchline.functions.ordering import down, tie_break, up
+from touchline.functions.ordering import down, sort_few, tie_break, up
 from touchline.operators.enrich import as_fact
 from touchline.operators.filters import decisive, suspicious_scores
 from touchline.operators.reshape import by_dimension, team_sides, with_code
@@ -69,17 +69,17 @@ def _union_estimate(*columns: str) -> Column:
 
 
 def matches_by_year(matches: DataFrame) -> DataFrame:
-    return (
+    grouped = (
         as_fact(matches)
         .groupBy(F.year("match_date").alias("match_year"))
         .agg(row_count().alias("match_count"), exact_mean(labels.total_goals(), 2).alias("avg_total_goals"))
-        .orderBy(up("match_year"))
     )
+    return sort_few(grouped, "match_year")
 
 
 def home_advantage(matches: DataFrame) -> DataFrame:
     """Results by venue type, with percentages."""
-    return (
+    grouped = (
         matches.groupBy(labels.venue_label(C.VENUE_REPORT).alias("venue_type"))
         .agg(
             row_count().alias("match_count"),
@@ -90,8 +90,8 @@ def home_advantage(matches: DataFrame) -> DataFrame:
             exact_pct(labels.level()).alias("draw_pct"),
             exact_pct(labels.away_won()).alias("away_win_pct"),
         )
-        .orderBy("venue_type")
     )
+    return sort_few(grouped, "venue_type")
 
 
 def most_successful_teams(matches: DataFrame, limit: int = 20) -> DataFrame:
@@ -193,7 +193,7 @@ def home_advantage_shares(matches: DataFrame) -> DataFrame:
 
 
 def neutral_vs_non_neutral(matches: DataFrame) -> DataFrame:
-    return (
+    grouped = (
         matches.groupBy(labels.venue_label(C.VENUE_QUERY).alias("neutral_status"))
         .agg(
             row_count().alias("match_count"),
@@ -201,8 +201,8 @@ def neutral_vs_non_neutral(matches: DataFrame) -> DataFrame:
             exact_share(labels.level()).alias("draw_share"),
             exact_share(labels.home_won()).alias("home_win_share"),
         )
-        .orderBy("neutral_status")
     )
+    return sort_few(grouped, "neutral_status")
 
 
 def biggest_wins_report(matches: DataFrame, limit: int = 20) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline import contract as C
 from touchline.functions import labels
 from touchline.functions.numeric import half_even, pct, ratio, row_count
-from touchline.functions.ordering import down, tie_break, up
+from touchline.functions.ordering import down, sort_few, tie_break, up
 from touchline.operators.reshape import by_dimension, team_long, team_sides
 
 _HOME_WIN, _DRAW, _AWAY_WIN = C.RESULTS
@@ -143,12 +143,12 @@ def outcome_distribution(matches: DataFrame, keep_absent: bool = False) -> DataF
 def goals_histogram(matches: DataFrame, width: int = 1) -> DataFrame:
     """Matches per bin of total goals; bins start at 0."""
     bin_start = (F.floor(F.col("total_goals") / width) * width).cast("bigint")
-    return (
+    grouped = (
         matches.filter(F.col("total_goals").isNotNull())
         .groupBy(bin_start.alias("bin_start"))
         .agg(row_count().alias("matches"))
-        .orderBy("bin_start")
     )
+    return sort_few(grouped, "bin_start")
 
 
 def scoreline_frequency(matches: DataFrame, limit: int | None = None) -> DataFrame:
@@ -177,18 +177,18 @@ def top_host_cities(matches: DataFrame, limit: int | None = 15) -> DataFrame:
 
 def matches_per_year(matches: DataFrame) -> DataFrame:
     """Match count and unrounded mean goals per year."""
-    return (
+    grouped = (
         matches.filter(F.col("year").isNotNull())
         .groupBy("year")
         .agg(row_count().alias("matches"), F.avg("total_goals").alias("avg_total_goals"))
-        .orderBy("year")
     )
+    return sort_few(grouped, "year")
 
 
 def yearly_trends(matches: DataFrame) -> DataFrame:
     """Per year: matches, mean goals, draw share, and home-win share of non-neutral matches (NULL without any)."""
     home_win = F.when(~F.col("neutral"), _is(_HOME_WIN).cast("int"))
-    return (
+    grouped = (
         matches.filter(F.col("year").isNotNull())
         .groupBy("year")
         .agg(
@@ -197,8 +197,8 @@ def yearly_trends(matches: DataFrame) -> DataFrame:
             _share(_is(_DRAW)).alias("draw_share"),
             (F.avg(home_win) * 100).alias("home_win_share"),
         )
-        .orderBy("year")
     )
+    return sort_few(grouped, "year")
 
 
 _TRENDS = ("matches", "avg_goals", "draw_share", "home_win_share")
@@ -240,7 +240,7 @@ def home_advantage_table(matches: DataFrame, digits: int = 2) -> DataFrame:
     def rounded(value: Column, name: str) -> Column:
         return half_even(value, digits).alias(name)
 
-    return (
+    grouped = (
         matches.groupBy(labels.venue_label(C.VENUE_VIEW).alias("venue_type"))
         .agg(
             row_count().alias("matches"),
@@ -250,8 +250,8 @@ def home_advantage_table(matches: DataFrame, digits: int = 2) -> DataFrame:
             rounded(_share(_is(_DRAW)), "draw_share"),
             rounded(_share(_is(_AWAY_WIN)), "away_win_share"),
         )
-        .orderBy("venue_type")
     )
+    return sort_few(grouped, "venue_type")
 
 
 def home_win_shift(matches: DataFrame) -> DataFrame:
@@ -346,7 +346,7 @@ def team_summary(rows: DataFrame) -> DataFrame:
 
 
 def team_yearly_results(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("year").isNotNull()).groupBy("year").agg(*_tally()).orderBy("year")
+    return sort_few(rows.filter(F.col("year").isNotNull()).groupBy("year").agg(*_tally()), "year")
 
 
 def team_top_opponents(rows: DataFrame, limit: int = 10) -> DataFrame:
@@ -401,7 +401,8 @@ def tournament_kpis(matches: DataFrame) -> DataFrame:
 
 
 def tournament_by_year(matches: DataFrame) -> DataFrame:
-    return matches.filter(F.col("year").isNotNull()).groupBy("year").agg(row_count().alias("matches")).orderBy("year")
+    dated = matches.filter(F.col("year").isNotNull())
+    return sort_few(dated.groupBy("year").agg(row_count().alias("matches")), "year")
 
 
 def biggest_wins_slice(matches: DataFrame, limit: int = 10) -> DataFrame:

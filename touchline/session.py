@@ -10,9 +10,11 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "touchline") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", app: str = "touchline", settings: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and the bench. On a cluster use the session the cluster gives you."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
@@ -20,9 +22,13 @@ def local_session(cpus: int | str = "*", app: str = "touchline") -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

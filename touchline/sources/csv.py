@@ -68,7 +68,7 @@ def read_and_validate(
 ) -> tuple[DataFrame, DataFrame]:
     """(data, validation report) of one CSV file."""
     data = read_matches_csv(spark, path)
-    return data, validate_matches(data, as_of, duplicates)
+    return data, validate_matches(data, as_of, duplicates, stripped=True)
 
 
 @contextmanager

@@ -119,7 +119,7 @@ def _violation(df: DataFrame) -> Column:
         bad |= F.col(name).isNull()
     for name in C.SCORES:
         number = parsing.parse_number(F.col(name), types[name])
-        bad |= number.isNull() | (number < 0) | parsing.is_fractional(number, types[name])
+        bad |= number.isNull() | (number < 0) | parsing.is_fractional(number)
     home, away = strip(F.col("home_team")), strip(F.col("away_team"))
     bad |= (home != "") & (home == away)
     if "neutral" in types:
