@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import parsing
-from touchline.functions.numeric import half_even
+from touchline.functions.numeric import half_even, row_count
 from touchline.functions.text import ref
 from touchline.operators.quality import duplicate_rows
+from touchline.operators.reshape import distinct_count
 
 ENTITIES = (("home_team", "home_team_count"), ("away_team", "away_team_count"), ("tournament", "tournament_count"))
 
@@ -16,18 +17,19 @@ ENTITIES = (("home_team", "home_team_count"), ("away_team", "away_team_count"),
 def dataset_profile(df: DataFrame, source_file: str, report: DataFrame | None = None, approx: bool = False) -> DataFrame:
     """One row of table-level facts; report adds the texts of a validation report.
 
-    Exact entity counts come from one (column, value) aggregation and duplicates from one
-    group-by over all columns; approx=True replaces the former by sketches.
+    Duplicates take one group-by over all columns. approx=True estimates the entity counts by sketches.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     dated = "date" in types and parsing.is_date(types["date"])
     present = [(c, alias) for c, alias in ENTITIES if c in types]
-    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    aggregates = [row_count().alias("row_count")]
     if dated:
         aggregates += [F.min(F.col("date").cast("date")).alias("_from"), F.max(F.col("date").cast("date")).alias("_to")]
-    count = F.approx_count_distinct if approx else F.count_distinct
-    aggregates += [count(F.col(c)).alias(alias) for c, alias in present]
+    if approx:
+        aggregates += [F.approx_count_distinct(c).alias(alias) for c, alias in present]
     facts = df.agg(*aggregates).withColumn("duplicate_row_count", duplicate_rows(df).scalar())
+    if not approx:
+        facts = facts.withColumns({alias: distinct_count(df, c) for c, alias in present})
 
     def day(name: str) -> Column:
         return F.date_format(name, "yyyy-MM-dd") if dated else F.lit(None).cast("string")
@@ -56,36 +58,29 @@ def _texts(report: DataFrame, severity: str) -> Column:
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """One row per column: position, name, type, missing count and share, distinct non-missing values."""
+    """One row per column: position, name, type, missing count and share, distinct non-missing values.
+
+    Every column is grouped by itself: on columnar storage that reads each byte once, keeps native types
+    and merges equal values before the shuffle. Store a text source first (profile_job does), as it would
+    be parsed once per column. approx=True needs one pass and shuffles no values.
+    """
     if approx:
         return _finish(_sketched(df), df)
-    values = df.select(*[ref(c).cast("string").alias(c) for c in df.columns])
-    groups = (
-        values.unpivot([], [ref(c) for c in df.columns], "column_name", "value")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy("column_name")
-        .agg(
-            F.sum("copies").alias("rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("copies"))).alias("missing"),
+    lines = None
+    for name in df.columns:
+        groups = df.groupBy(ref(name).alias("value")).agg(row_count().alias("copies"))
+        line = groups.agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("missing"),
             F.count("value").alias("distinct_values"),
-        )
-    )
-    # An empty frame has no groups, so every column is also named once with nothing counted.
-    zero = F.lit(0).cast("bigint")
-    named = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in df.columns])).alias("column_name"),
-        *[zero.alias(c) for c in ("rows", "missing", "distinct_values")],
-    )
-    merged = groups.unionByName(named).groupBy("column_name").agg(
-        *[F.sum(c).alias(c) for c in ("rows", "missing", "distinct_values")]
-    )
-    return _finish(merged, df)
+        ).withColumn("column_name", F.lit(name))
+        lines = line if lines is None else lines.unionByName(line)
+    return _finish(lines, df)
 
 
 def _sketched(df: DataFrame) -> DataFrame:
     """Approximate distinct counts in a single aggregate without shuffling values."""
-    aggregates = [F.count(F.lit(1)).alias("_rows")]
+    aggregates = [row_count().alias("_rows")]
     for i, c in enumerate(df.columns):
         aggregates.append(F.count_if(ref(c).isNull()).alias(f"m{i}"))
         aggregates.append(F.approx_count_distinct(ref(c)).alias(f"d{i}"))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from touchline import contract as C
 from touchline.functions import parsing
+from touchline.functions.numeric import row_count
 from touchline.functions.text import ref, string_columns, strip
 
 REPORT_COLUMNS = ("rule_id", "severity", "column", "violations", "message")
@@ -74,7 +75,7 @@ def build_rules(
     """
     rules = RuleSet()
     types = {f.name: f.dataType for f in df.schema.fields}
-    rules.counts["row_count"] = F.count(F.lit(1)).alias("row_count")
+    rules.counts["row_count"] = row_count().alias("row_count")
 
     rules.error("V1", None, (F.col("row_count") == 0).cast("int"), C.MSG_EMPTY)
     absent = [c for c in C.REQUIRED if c not in types]
@@ -134,7 +135,7 @@ def _blank_text(rules: RuleSet, text: dict[str, Column]) -> None:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: how many rows repeat an earlier one. NULLs are equal; copies collapse map-side."""
-    groups = df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    groups = df.groupBy(*[ref(c) for c in df.columns]).agg(row_count().alias("copies"))
     return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,30 +59,13 @@ def unique_teams(matches: DataFrame) -> DataFrame:
     return names.select("team_name").distinct()
 
 
-def by_dimension(
-    df: DataFrame,
-    dimensions: Sequence[tuple[str, Column]],
-    *aggregates: Column,
-    carry: Sequence[Column] = (),
-) -> DataFrame:
-    """One row per (dimension, value) for several unrelated text dimensions in one pass.
+def distinct_count(df: DataFrame, column: str) -> Column:
+    """Number of distinct values as a scalar subquery.
 
-    A dimension given twice becomes one, which is how home and away teams count together.
-    Map-side partial aggregation collapses hot values before the only shuffle.
+    Several distinct counts in one aggregate multiply every row by their number. On columnar storage one
+    narrow scan per column reads the same bytes without that, and equal values merge before the shuffle.
     """
-    slots: dict[str, str] = {}
-    for position, (name, _) in enumerate(dimensions):
-        slots[f"{name}__{position}" if name in slots else name] = name
-    values = [col.alias(slot) for slot, (_, col) in zip(slots, dimensions)]
-    wide = df.select(*carry, *values)
-    long = wide.unpivot(wide.columns[: len(carry)], list(slots), "dimension", "value")
-    again = {slot: name for slot, name in slots.items() if slot != name}
-    if again:
-        label = F.col("dimension")
-        for slot, name in again.items():
-            label = F.when(F.col("dimension") == slot, name).otherwise(label)
-        long = long.withColumn("dimension", label)
-    return long.groupBy("dimension", "value").agg(*aggregates)
+    return df.select(column).distinct().agg(F.count(column)).scalar()
 
 
 def team_results_long(yearly: DataFrame) -> DataFrame:

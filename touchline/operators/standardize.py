@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from touchline import contract as C
 from touchline.functions import parsing
+from touchline.functions.numeric import row_count
 from touchline.functions.text import strip_strings
 from touchline.operators import quality
 from touchline.operators.mapping import apply_mapping, check_mapping, clean_mapping, dropped_columns
@@ -59,7 +60,7 @@ class Standardization:
     def counts(self, duplicates: bool = True) -> DataFrame:
         """One row of rule counts: one pass over the source, plus one for duplicates."""
         if self.checked is None:
-            return self.source.agg(F.count(F.lit(1)).alias("row_count"))
+            return self.source.agg(row_count().alias("row_count"))
         counts = self.checked.agg(*self.rules.counts.values())
         if duplicates:
             counts = counts.withColumn("duplicate_rows", quality.duplicate_rows(self.data()).scalar())

@@ -1,4 +1,4 @@
-"""The table of record facts: eleven (fact_name, fact_value, details) rows from two passes over the matches."""
+"""The table of record facts: eleven (fact_name, fact_value, details) rows."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from touchline.functions import labels
 from touchline.functions.numeric import row_count
 from touchline.functions.ordering import sort_few
 from touchline.operators.enrich import as_fact
-from touchline.operators.reshape import by_dimension
+from touchline.plans.views import top_value
 
 
 def _day(match: str) -> Column:
@@ -33,30 +33,40 @@ def _matches_text(count: Column) -> Column:
 
 
 def _match_facts(matches: DataFrame) -> tuple[DataFrame, dict[int, Column]]:
-    """Five extreme matches as struct minima and maxima of one global aggregate.
+    """Five extreme matches.
 
-    A struct compares field by field, so its leading fields are the sort keys and the rest is the payload.
+    A first aggregate finds the extreme values alone, from plain numbers; the second looks only at the few
+    matches that reach one of them and settles the ties. A struct compares field by field, so its leading
+    fields are the sort keys and the rest is the payload.
     """
-    shown = [F.col(c) for c in ("match_date", "home_team", "away_team", "home_score", "away_score")]
+    matches = matches.filter(F.col("match_date").isNotNull())
+    difference, total = F.col("home_score") - F.col("away_score"), labels.total_goals()
+    extremes = matches.agg(
+        F.struct(
+            F.min("match_date").alias("first_day"),
+            F.max("match_date").alias("last_day"),
+            F.max(difference).alias("home_margin"),
+            F.min(difference).alias("away_margin"),
+            F.max(total).alias("most_goals"),
+        )
+    ).scalar()
+    oldest, latest = F.col("match_date") == extremes["first_day"], F.col("match_date") == extremes["last_day"]
+    home = labels.home_won() & (difference == extremes["home_margin"])
+    away = labels.away_won() & (difference == extremes["away_margin"])
+    most = total == extremes["most_goals"]
     last_key = [F.col("match_id")] if "match_id" in matches.columns else []
-    dated = F.col("match_date").isNotNull()
-    difference = F.col("home_score") - F.col("away_score")
-
-    def first_by(*keys: Column, where: Column = dated) -> Column:
-        return F.min(F.when(where, _keyed(*keys)))
-
-    def _keyed(*keys: Column) -> Column:
-        named = [k.alias(f"k{i}") for i, k in enumerate((*keys, *last_key))]
-        return F.struct(*named, *shown)
-
-    found = matches.agg(
-        first_by(F.col("match_date")).alias("oldest"),
-        F.max(F.when(dated, _keyed(F.col("match_date")))).alias("latest"),
-        first_by(-difference, -F.col("home_score"), F.col("match_date"), where=dated & labels.home_won()).alias("home"),
-        first_by(difference, -F.col("away_score"), F.col("match_date"), where=dated & labels.away_won()).alias("away"),
-        first_by(
-            -labels.total_goals(), -labels.top_score(), F.col("match_date"), where=dated & labels.total_goals().isNotNull()
-        ).alias("most"),
+    shown = [F.col(c) for c in ("match_date", "home_team", "away_team", "home_score", "away_score")]
+
+    def keyed(*keys: Column) -> Column:
+        return F.struct(*[k.alias(f"k{i}") for i, k in enumerate((*keys, *last_key))], *shown)
+
+    day = F.col("match_date")
+    found = matches.filter(oldest | latest | home | away | most).agg(
+        F.min(F.when(oldest, keyed())).alias("oldest"),
+        F.max(F.when(latest, keyed())).alias("latest"),
+        F.min(F.when(home, keyed(-F.col("home_score"), day))).alias("home"),
+        F.min(F.when(away, keyed(-F.col("away_score"), day))).alias("away"),
+        F.min(F.when(most, keyed(-labels.top_score(), day))).alias("most"),
     )
 
     def margin(match: str) -> Column:
@@ -66,71 +76,69 @@ def _match_facts(matches: DataFrame) -> tuple[DataFrame, dict[int, Column]]:
     def dated_text(match: str) -> Column:
         return F.concat(_day(match), F.lit(": "), _text(match))
 
-    most = F.col("most")
-    total = F.concat((most["home_score"] + most["away_score"]).cast("string"), F.lit(" total goals"))
+    best = F.col("most")
+    goals = F.concat((best["home_score"] + best["away_score"]).cast("string"), F.lit(" total goals"))
     return found, {
         0: _fact("Oldest recorded match", _day("oldest"), _text("oldest")),
         1: _fact("Most recent recorded match", _day("latest"), _text("latest")),
         7: _fact("Biggest home win", margin("home"), dated_text("home")),
         8: _fact("Biggest away win", margin("away"), dated_text("away")),
-        9: _fact("Highest-scoring single match", total, dated_text("most")),
+        9: _fact("Highest-scoring single match", goals, dated_text("most")),
     }
 
 
-def _group_facts(matches: DataFrame, min_year_matches: int) -> tuple[DataFrame, dict[int, Column]]:
-    """Six facts about groups from one (dimension, value) aggregation."""
-    groups = by_dimension(
-        matches,
-        [
-            ("year", F.year("match_date").cast("string")),
-            ("tournament", F.col("tournament")),
-            ("country", F.col("country")),
-            ("city", F.col("city")),
-            ("scoreline", labels.scoreline()),
-        ],
-        row_count().alias("n"),
-        F.sum("goals").alias("goals"),
-        F.count("goals").alias("scored"),
-        carry=[labels.total_goals().alias("goals")],
-    ).filter(F.col("value").isNotNull())
+def _year_facts(matches: DataFrame, min_year_matches: int) -> tuple[DataFrame, dict[int, Column]]:
+    goals = labels.total_goals()
+    years = (
+        matches.groupBy(F.year("match_date").alias("year"))
+        .agg(row_count().alias("n"), F.sum(goals).alias("goals"), F.count(goals).alias("scored"))
+        .filter(F.col("year").isNotNull())
+    )
     mean = F.try_divide(F.col("goals").cast("decimal(20,0)"), F.col("scored").cast("decimal(20,0)"))
-    rounded = F.round(mean, 2).cast("decimal(20,2)")
-    is_year, year = F.col("dimension") == "year", F.col("value").try_cast("int")
-
-    def top(name: str) -> Column:
-        return F.min(F.when(F.col("dimension") == name, F.struct((-F.col("n")).alias("minus_n"), "value"))).alias(name)
-
-    busiest = F.struct(F.col("n").alias("n"), year.alias("year"))
-    richest = F.struct(rounded.alias("mean"), F.col("n").alias("n"), year.alias("year"))
-    found = groups.agg(
-        F.max(F.when(is_year, busiest)).alias("busiest"),
-        F.max(F.when(is_year & (F.col("n") >= min_year_matches) & mean.isNotNull(), richest)).alias("richest"),
-        *[top(d) for d in ("tournament", "country", "city", "scoreline")],
+    rounded = F.round(mean, 2).cast("decimal(20,2)").alias("mean")
+    found = years.agg(
+        F.max(F.struct("n", "year")).alias("busiest"),
+        F.max(F.when((F.col("n") >= min_year_matches) & mean.isNotNull(), F.struct(rounded, "n", "year"))).alias("richest"),
     )
-
-    def top_fact(name: str, dimension: str) -> Column:
-        best = F.col(dimension)
-        return _fact(name, best["value"], _matches_text(-best["minus_n"]))
-
     busy, rich = F.col("busiest"), F.col("richest")
-    per_match = F.concat(
-        rich["mean"].cast("string"), F.lit(" goals per match across "), rich["n"].cast("string"), F.lit(" matches")
-    )
+    per_match = F.concat(rich["mean"].cast("string"), F.lit(" goals per match across "), _matches_text(rich["n"]))
     return found, {
         2: _fact("Most active year", busy["year"], _matches_text(busy["n"])),
         3: _fact("Highest-scoring year (50+ matches)", rich["year"], per_match),
-        4: top_fact("Tournament with most matches", "tournament"),
-        5: top_fact("Country hosting the most matches", "country"),
-        6: top_fact("Most frequent host city", "city"),
-        10: top_fact("Most common scoreline", "scoreline"),
+    }
+
+
+def _top_fact(matches: DataFrame, position: int, name: str, key: str) -> tuple[DataFrame, dict[int, Column]]:
+    top = F.col("top")
+    return top_value(matches, key), {position: _fact(name, top["value"], _matches_text(-top["minus_n"]))}
+
+
+def _scoreline_fact(matches: DataFrame) -> tuple[DataFrame, dict[int, Column]]:
+    """Grouped by the two numbers; the text is only made once per pair."""
+    pairs = matches.groupBy("home_score", "away_score").agg(row_count().alias("n"))
+    ranked = F.struct((-F.col("n")).alias("minus_n"), labels.scoreline().alias("value"))
+    top = F.col("top")
+    return pairs.agg(F.min(ranked).alias("top")), {
+        10: _fact("Most common scoreline", top["value"], _matches_text(-top["minus_n"]))
     }
 
 
 def interesting_facts(matches: DataFrame, min_year_matches: int = C.MIN_YEAR_MATCHES) -> DataFrame:
-    """Facts that the data cannot answer (no such match or group) are left out."""
+    """Facts that the data cannot answer (no such match or group) are left out.
+
+    Each part scans only the columns it needs, and ends in one row.
+    """
     matches = as_fact(matches)
+    parts = [
+        _match_facts(matches),
+        _year_facts(matches, min_year_matches),
+        _top_fact(matches, 4, "Tournament with most matches", "tournament"),
+        _top_fact(matches, 5, "Country hosting the most matches", "country"),
+        _top_fact(matches, 6, "Most frequent host city", "city"),
+        _scoreline_fact(matches),
+    ]
     lines = None
-    for found, facts in (_match_facts(matches), _group_facts(matches, min_year_matches)):
+    for found, facts in parts:
         rows = [F.struct(F.lit(p).alias("position"), fact.alias("fact")) for p, fact in facts.items()]
         part = found.select(F.inline(F.array(*rows))).select("position", "fact.*")
         lines = part if lines is None else lines.unionByName(part)

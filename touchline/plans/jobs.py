@@ -13,8 +13,9 @@ from touchline import contract as C
 from touchline.operators import quality
 from touchline.operators.profile import column_profile, dataset_profile
 from touchline.operators.standardize import AUDIT_SCHEMA, audit_from, audit_lines, final_columns, plan_standardization
+from touchline.session import scratch_path
 from touchline.sources import files
-from touchline.sources.csv import encoding_errors, read_and_validate, read_matches_csv
+from touchline.sources.csv import encoding_errors, read_matches_csv
 from touchline.sources.outputs import write_as, write_output
 from touchline.sources.table import load_matches
 
@@ -39,7 +40,7 @@ def standardize_job(
     blocked = [C.MSG_OUTPUT_EXISTS.format(output)] if files.exists(spark, output) and not overwrite else []
     with encoding_errors():
         if plan.mapping_errors or blocked:
-            audit = _stored(audit_from(plan, plan.counts(duplicates), source))
+            audit = _fixed(audit_from(plan, plan.counts(duplicates), source), AUDIT_SCHEMA)
             return _with_errors(audit, blocked)
         staged = files.sibling(output, "staging")
         try:
@@ -50,11 +51,11 @@ def standardize_job(
             if duplicates:
                 rows = spark.read.parquet(staged) if fmt == "parquet" else read_back(spark, staged)
                 counts = counts.withColumn("duplicate_rows", F.lit(quality.duplicate_rows(rows).first()[0]))
-            audit = _stored(audit_from(plan, counts, source, output))
+            audit = _fixed(audit_from(plan, counts, source, output), AUDIT_SCHEMA)
             if audit.first()["is_successful"]:
                 files.swap_in(spark, staged, output)
                 return audit
-            return _stored(audit.withColumn("output_file", F.lit(None).cast("string")))
+            return _fixed(audit.withColumn("output_file", F.lit(None).cast("string")), AUDIT_SCHEMA)
         finally:
             if files.exists(spark, staged):
                 files.delete(spark, staged)
@@ -70,9 +71,9 @@ def _one_row(spark: SparkSession, values: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame([tuple(values.values())], schema)
 
 
-def _stored(audit: DataFrame) -> DataFrame:
-    """Fix the one audit row, so that reading it later does not run the job again."""
-    return audit.sparkSession.createDataFrame(audit.collect(), AUDIT_SCHEMA)
+def _fixed(few: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Hold a result of a few rows (an audit, a profile), so that reading it later runs nothing again."""
+    return few.sparkSession.createDataFrame(few.collect(), schema or few.schema)
 
 
 def _with_errors(audit: DataFrame, more: list[str]) -> DataFrame:
@@ -97,12 +98,21 @@ def load_job(spark: SparkSession, path: str, table: str = "matches", replace: bo
 def profile_job(
     spark: SparkSession, path: str, output: str | None = None, as_of: date | None = None, approx: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(dataset profile with validation texts, column profile) of a CSV file, stored as two tables if asked."""
-    with encoding_errors():
-        df, report = read_and_validate(spark, path, as_of)
-        table_level = dataset_profile(df, files.base_name(path), report, approx)
-        columns = column_profile(df, approx)
-        if output is not None:
-            write_output(table_level, f"{output.rstrip('/')}/dataset_profile", overwrite=True)
-            write_output(columns, f"{output.rstrip('/')}/column_profile", overwrite=True)
-        return table_level, columns
+    """(dataset profile with validation texts, column profile) of a CSV file, stored as two tables if asked.
+
+    The text is parsed once, into a columnar copy in the scratch folder that all counts then read.
+    """
+    copy = scratch_path(spark, "profile")
+    try:
+        with encoding_errors():
+            read_matches_csv(spark, path).write.parquet(copy)
+        df = spark.read.parquet(copy)
+        report = quality.validate_matches(df, as_of, stripped=True)
+        table_level = _fixed(dataset_profile(df, files.base_name(path), report, approx))
+        columns = _fixed(column_profile(df, approx))
+    finally:
+        files.delete(spark, copy)
+    if output is not None:
+        write_output(table_level, f"{output.rstrip('/')}/dataset_profile", overwrite=True)
+        write_output(columns, f"{output.rstrip('/')}/column_profile", overwrite=True)
+    return table_level, columns

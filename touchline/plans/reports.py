@@ -11,51 +11,32 @@ from touchline.functions.numeric import exact_mean, exact_pct, exact_share, row_
 from touchline.functions.ordering import down, sort_few, tie_break, up
 from touchline.operators.enrich import as_fact
 from touchline.operators.filters import decisive, suspicious_scores
-from touchline.operators.reshape import by_dimension, team_sides, with_code
+from touchline.operators.reshape import distinct_count, team_sides, unique_teams, with_code
 
 
 def dataset_overview(matches: DataFrame, approx: bool = False) -> DataFrame:
     """One row: matches, date range, distinct teams (both sides), tournaments and countries.
 
-    One scan and one shuffle: every match gives one row per dimension, equal values merge map-side,
-    and the tournament rows, exactly one per match, carry the match count. approx=True uses sketches
-    and shuffles no values at all.
+    approx=True estimates the distinct counts by sketches in the same aggregate and shuffles no values.
     """
     matches = as_fact(matches)
+    facts = [
+        row_count().alias("match_count"),
+        F.min("match_date").alias("min_match_date"),
+        F.max("match_date").alias("max_match_date"),
+    ]
     if approx:
         return matches.agg(
-            row_count().alias("match_count"),
-            F.min("match_date").alias("min_match_date"),
-            F.max("match_date").alias("max_match_date"),
+            *facts,
             _union_estimate("home_team", "away_team").alias("unique_team_count"),
             F.approx_count_distinct("tournament").alias("tournament_count"),
             F.approx_count_distinct("country").alias("country_count"),
         )
-    dimensions = [
-        ("team", F.col("home_team")),
-        ("team", F.col("away_team")),
-        ("tournament", F.col("tournament")),
-        ("country", F.col("country")),
-    ]
-    groups = by_dimension(
-        matches,
-        dimensions,
-        row_count().alias("n"),
-        F.min("match_date").alias("first"),
-        F.max("match_date").alias("last"),
-        carry=[F.col("match_date")],
-    )
-
-    def distinct(name: str) -> Column:
-        return F.count(F.when(F.col("dimension") == name, F.col("value")))
-
-    return groups.agg(
-        F.coalesce(F.sum(F.when(F.col("dimension") == "tournament", F.col("n"))), F.lit(0)).alias("match_count"),
-        F.min("first").alias("min_match_date"),
-        F.max("last").alias("max_match_date"),
-        distinct("team").alias("unique_team_count"),
-        distinct("tournament").alias("tournament_count"),
-        distinct("country").alias("country_count"),
+    return matches.agg(*facts).select(
+        "*",
+        distinct_count(unique_teams(matches), "team_name").alias("unique_team_count"),
+        distinct_count(matches, "tournament").alias("tournament_count"),
+        distinct_count(matches, "country").alias("country_count"),
     )
 
 

@@ -9,7 +9,7 @@ from touchline import contract as C
 from touchline.functions import labels
 from touchline.functions.numeric import half_even, pct, ratio, row_count
 from touchline.functions.ordering import down, sort_few, tie_break, up
-from touchline.operators.reshape import by_dimension, team_long, team_sides
+from touchline.operators.reshape import distinct_count, team_long, team_sides, unique_teams
 
 _HOME_WIN, _DRAW, _AWAY_WIN = C.RESULTS
 
@@ -26,77 +26,54 @@ def _share(condition: Column) -> Column:
 # --- whole dataset ---------------------------------------------------------------------------
 
 
+def _kpis(matches: DataFrame) -> DataFrame:
+    return matches.agg(
+        row_count().alias("matches"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.avg("total_goals").alias("avg_goals"),
+    ).withColumn("teams", distinct_count(unique_teams(matches), "team_name"))
+
+
 def overview_kpis(matches: DataFrame) -> DataFrame:
     """One row: matches, teams, tournaments, host countries, date range and mean goals of a slice."""
-    groups = by_dimension(
-        matches,
-        [
-            ("team", F.col("home_team")),
-            ("team", F.col("away_team")),
-            ("tournament", F.col("tournament")),
-            ("country", F.col("country")),
-        ],
-        row_count().alias("n"),
-        F.min("day").alias("first"),
-        F.max("day").alias("last"),
-        F.sum("goals").alias("goals"),
-        F.count("goals").alias("scored"),
-        carry=[F.col("date").alias("day"), F.col("total_goals").alias("goals")],
+    return _kpis(matches).select(
+        "matches",
+        "teams",
+        distinct_count(matches, "tournament").alias("tournaments"),
+        distinct_count(matches, "country").alias("countries"),
+        "first_date",
+        "last_date",
+        "avg_goals",
     )
-    once = F.col("dimension") == "tournament"
 
-    def distinct(name: str) -> Column:
-        return F.count(F.when(F.col("dimension") == name, F.col("value")))
 
-    def per_match(name: str) -> Column:
-        return F.sum(F.when(once, F.col(name)))
-
-    return groups.agg(
-        F.coalesce(per_match("n"), F.lit(0)).alias("matches"),
-        distinct("team").alias("teams"),
-        distinct("tournament").alias("tournaments"),
-        distinct("country").alias("countries"),
-        F.min("first").alias("first_date"),
-        F.max("last").alias("last_date"),
-        ratio(per_match("goals"), per_match("scored")).alias("avg_goals"),
-    )
+def top_value(matches: DataFrame, key: str) -> DataFrame:
+    """One row holding a struct (minus_n, value): the most frequent value of a column, the first by name on a tie."""
+    groups = matches.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("value")).agg(row_count().alias("n"))
+    return groups.agg(F.min(F.struct((-F.col("n")).alias("minus_n"), "value")).alias("top"))
 
 
 def overview_insights(matches: DataFrame) -> DataFrame:
     """One row: peak year, top tournament, home-win %, mean goals, neutral % (a missing flag counts as not neutral).
 
-    The year rows, exactly one per match, carry the totals, so one pass is enough. No row for no matches.
+    The totals are sums over the year groups. No row for no matches.
     """
-    groups = by_dimension(
-        matches,
-        [("year", F.col("year").cast("string")), ("tournament", F.col("tournament"))],
+    years = matches.groupBy("year").agg(
         row_count().alias("n"),
-        F.count_if("home").alias("home_wins"),
-        F.count_if("on_neutral").alias("neutral_matches"),
-        F.sum("goals").alias("goals"),
-        F.count("goals").alias("scored"),
-        carry=[
-            _is(_HOME_WIN).alias("home"),
-            F.coalesce(F.col("neutral"), F.lit(False)).alias("on_neutral"),
-            F.col("total_goals").alias("goals"),
-        ],
-    )
-    known = F.col("value").isNotNull()
-    is_year, is_tournament = F.col("dimension") == "year", F.col("dimension") == "tournament"
-    minus_n = (-F.col("n")).alias("minus_n")
-    year = F.col("value").try_cast("int").alias("value")
-
-    def total(name: str) -> Column:
-        return F.sum(F.when(is_year, F.col(name)))
-
-    found = groups.agg(
-        F.min(F.when(is_year & known, F.struct(minus_n, year))).alias("peak"),
-        F.min(F.when(is_tournament & known, F.struct(minus_n, "value"))).alias("top"),
-        pct(total("home_wins"), total("n")).alias("home_win_pct"),
-        ratio(total("goals"), total("scored")).alias("avg_goals"),
-        pct(total("neutral_matches"), total("n")).alias("neutral_pct"),
-        total("n").alias("n"),
+        F.count_if(_is(_HOME_WIN)).alias("home_wins"),
+        F.count_if("neutral").alias("neutral_matches"),
+        F.sum("total_goals").alias("goals"),
+        F.count("total_goals").alias("scored"),
     )
+    known = F.when(F.col("year").isNotNull(), F.struct((-F.col("n")).alias("minus_n"), F.col("year").alias("value")))
+    found = years.agg(
+        F.sum("n").alias("n"),
+        F.min(known).alias("peak"),
+        pct(F.sum("home_wins"), F.sum("n")).alias("home_win_pct"),
+        ratio(F.sum("goals"), F.sum("scored")).alias("avg_goals"),
+        pct(F.sum("neutral_matches"), F.sum("n")).alias("neutral_pct"),
+    ).withColumn("top", top_value(matches, "tournament").scalar())
     return found.filter(F.col("n") > 0).select(
         F.col("peak.value").alias("peak_year"),
         (-F.col("peak.minus_n")).alias("peak_year_matches"),
@@ -110,23 +87,18 @@ def overview_insights(matches: DataFrame) -> DataFrame:
 
 def filter_options(matches: DataFrame) -> DataFrame:
     """(dimension, value) rows: teams of both sides, tournaments, countries, and year_min / year_max."""
-    groups = by_dimension(
-        matches,
-        [
-            ("team", F.col("home_team")),
-            ("team", F.col("away_team")),
-            ("tournament", F.col("tournament")),
-            ("country", F.col("country")),
-        ],
-        F.min("played").alias("first"),
-        F.max("played").alias("last"),
-        carry=[F.col("year").alias("played")],
-    )
-    years = groups.agg(F.min("first").alias("year_min"), F.max("last").alias("year_max")).select(
-        F.col("year_min").cast("string"), F.col("year_max").cast("string")
+
+    def named(dimension: str, values: DataFrame) -> DataFrame:
+        return values.select(F.lit(dimension).alias("dimension"), F.col(values.columns[0]).alias("value"))
+
+    days = matches.agg(F.year(F.min("date")).alias("year_min"), F.year(F.max("date")).alias("year_max"))
+    years = days.select(*[F.col(c).cast("string").alias(c) for c in days.columns])
+    options = (
+        named("team", unique_teams(matches))
+        .unionByName(named("tournament", matches.select("tournament").distinct()))
+        .unionByName(named("country", matches.select("country").distinct()))
+        .unionByName(years.unpivot([], years.columns, "dimension", "value"))
     )
-    bounds = years.unpivot([], ["year_min", "year_max"], "dimension", "value")
-    options = groups.select("dimension", "value").unionByName(bounds)
     return options.filter(F.col("value").isNotNull()).orderBy("dimension", "value")
 
 
@@ -397,7 +369,7 @@ def tournament_teams(matches: DataFrame, limit: int | None = None) -> DataFrame:
 
 def tournament_kpis(matches: DataFrame) -> DataFrame:
     """One row for a tournament slice: matches, teams, mean goals, date range."""
-    return overview_kpis(matches).select("matches", "teams", "avg_goals", "first_date", "last_date")
+    return _kpis(matches).select("matches", "teams", "avg_goals", "first_date", "last_date")
 
 
 def tournament_by_year(matches: DataFrame) -> DataFrame:

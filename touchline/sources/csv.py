@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline import contract as C
 from touchline.functions.parsing import parse_date
@@ -100,17 +101,19 @@ def _scan(spark, path, na_tokens, date_formats, multi_line, source_file=False) -
         .csv(path)
     )
     names = [_header_name(c) for c in raw.columns]
-    out = []
-    for source, name in zip(raw.columns, names):
-        text = blank_to_null(_as_utf8(ref(source)), na_tokens)
+    origin = [F.col("_metadata.file_name").alias("source_file")] if source_file else []
+    kept = [F.col("source_file")] if source_file else []
+    # One projection per step: each step uses its input more than once, and as one expression
+    # the steps would multiply.
+    decoded = raw.select(*[_as_utf8(ref(c)).alias(n) for c, n in zip(raw.columns, names)], *origin)
+    present = decoded.select(*[blank_to_null(ref(n), na_tokens).alias(n) for n in names], *kept)
+
+    def typed(name: str) -> Column:
         if name == "date":
-            value = parse_date(text, raw.schema[source].dataType, date_formats)
-        else:
-            value = strip(text)
-        out.append(value.alias(name))
-    if source_file:
-        out.append(F.col("_metadata.file_name").alias("source_file"))
-    return raw.select(*out)
+            return parse_date(ref(name), T.StringType(), date_formats)
+        return strip(ref(name))
+
+    return present.select(*[typed(n).alias(n) for n in names], *kept)
 
 
 def _header_name(name: str) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from touchline import contract as C
 from touchline.functions import parsing
+from touchline.functions.numeric import row_count
 from touchline.functions.text import strip
 from touchline.operators.quality import validate_matches
 from touchline.session import session_conf
@@ -82,7 +83,7 @@ def rows_by_source(spark: SparkSession, table: str = "matches", source_file: str
     rows = spark.table(table)
     if source_file is not None:
         rows = rows.filter(F.col("source_file") == source_file)
-    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.groupBy("source_file").agg(row_count().alias("row_count"))
 
 
 def _flag(value: Column, data_type: T.DataType) -> Column:
@@ -93,37 +94,43 @@ def _flag(value: Column, data_type: T.DataType) -> Column:
     return F.when(text.isin("true", "1", "1.0"), F.lit(True)).when(text.isin("false", "0", "0.0"), F.lit(False))
 
 
-def _load_projection(df: DataFrame, source_file: str) -> DataFrame:
-    """The ten load columns in table order, typed; absent optional columns are NULL."""
+def _with_helpers(df: DataFrame) -> DataFrame:
+    """Add the scores as numbers and the neutral flag, each worked out once per row."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    helpers = {f"_number_{c}": parsing.parse_number(F.col(c), types[c]) for c in C.SCORES}
+    neutral = _flag(F.col("neutral"), types["neutral"]) if "neutral" in types else F.lit(None).cast("boolean")
+    return df.withColumns({**helpers, "_flag": neutral})
+
+
+def _load_values(df: DataFrame, source_file: str) -> dict[str, Column]:
+    """The ten load columns over a frame with helpers, typed; absent optional columns are NULL."""
 
     def value(name: str) -> Column:
         if name == "match_date":
-            return parsing.parse_date(F.col("date"), types["date"])
+            return parsing.parse_date(F.col("date"), df.schema["date"].dataType)
         if name == "source_file":
             return F.lit(source_file)
-        if name not in types:
-            return F.lit(None)
         if name in C.SCORES:
-            return parsing.parse_score(F.col(name), types[name])
-        return _flag(F.col(name), types[name]) if name == "neutral" else F.col(name)
+            return parsing.whole(F.col(f"_number_{name}"))
+        if name == "neutral":
+            return F.col("_flag")
+        return F.col(name) if name in df.columns else F.lit(None)
 
-    return df.select(*[value(c).cast(C.TABLE_SCHEMA[c].dataType).alias(c) for c in C.LOAD_COLUMNS])
+    return {c: value(c).cast(C.TABLE_SCHEMA[c].dataType).alias(c) for c in C.LOAD_COLUMNS}
 
 
 def _violation(df: DataFrame) -> Column:
-    """TRUE where a row breaks a table constraint."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+    """TRUE where a row of a frame with helpers breaks a table constraint."""
     bad = F.lit(False)
     for name in C.REQUIRED:
         bad |= F.col(name).isNull()
     for name in C.SCORES:
-        number = parsing.parse_number(F.col(name), types[name])
+        number = F.col(f"_number_{name}")
         bad |= number.isNull() | (number < 0) | parsing.is_fractional(number)
     home, away = strip(F.col("home_team")), strip(F.col("away_team"))
     bad |= (home != "") & (home == away)
-    if "neutral" in types:
-        bad |= F.col("neutral").isNotNull() & _flag(F.col("neutral"), types["neutral"]).isNull()
+    if "neutral" in df.columns:
+        bad |= F.col("neutral").isNotNull() & F.col("_flag").isNull()
     return F.coalesce(bad, F.lit(True))
 
 
@@ -153,7 +160,8 @@ def prepare_for_load(df: DataFrame, source_file: str, validate: bool = True) ->
     """
     if validate:
         _reject(_error_messages(df) or _neutral_message(df))
-    return _load_projection(df, source_file)
+    ready = _with_helpers(df)
+    return ready.select(*_load_values(ready, source_file).values())
 
 
 def load_matches(
@@ -180,13 +188,18 @@ def load_matches(
         raise ValueError(C.MSG_SOURCE_LOADED.format(source_file))
 
     first_id = _next_id(spark, table)
-    checked = df.filter(F.when(_violation(df), F.raise_error(F.lit(C.MSG_NOT_LOADABLE))).otherwise(F.lit(True)))
-    rows = _load_projection(checked, source_file)
+    # The check sits in a column of the write, not in a filter: a filter would be pushed below the input's
+    # own projections and repeat their work.
+    ready = _with_helpers(df)
+    new_id = F.lit(first_id) + F.monotonically_increasing_id()
+    stop = F.raise_error(F.lit(C.MSG_NOT_LOADABLE)).cast("bigint")
     stamp = F.lit(loaded_at) if loaded_at else F.current_timestamp()
-    values = {"match_id": F.lit(first_id) + F.monotonically_increasing_id(), "loaded_at": stamp.cast("timestamp")}
-    rows = rows.select(*[values.get(f.name, F.col(f.name)).alias(f.name) for f in C.TABLE_SCHEMA.fields])
+    values = _load_values(ready, source_file)
+    values["match_id"] = F.when(_violation(ready), stop).otherwise(new_id).alias("match_id")
+    values["loaded_at"] = stamp.cast("timestamp").alias("loaded_at")
+    rows = ready.select(*[values[f.name] for f in C.TABLE_SCHEMA.fields])
     seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("match_id").alias("last_id"))
+    rows = rows.observe(seen, row_count().alias("rows"), F.max("match_id").alias("last_id"))
     if by_date:
         rows = rows.sortWithinPartitions("source_file", "match_date")
 
