@@ -50,23 +50,24 @@ def _match_facts(matches: DataFrame) -> tuple[DataFrame, dict[int, Column]]:
             F.max(total).alias("most_goals"),
         )
     ).scalar()
-    oldest, latest = F.col("match_date") == extremes["first_day"], F.col("match_date") == extremes["last_day"]
-    home = labels.home_won() & (difference == extremes["home_margin"])
-    away = labels.away_won() & (difference == extremes["away_margin"])
-    most = total == extremes["most_goals"]
+    day, home_score, away_score = F.col("match_date"), F.col("home_score"), F.col("away_score")
+    reaching = (
+        day.isin(extremes["first_day"], extremes["last_day"])
+        | difference.isin(extremes["home_margin"], extremes["away_margin"])
+        | (total == extremes["most_goals"])
+    )
     last_key = [F.col("match_id")] if "match_id" in matches.columns else []
     shown = [F.col(c) for c in ("match_date", "home_team", "away_team", "home_score", "away_score")]
 
     def keyed(*keys: Column) -> Column:
         return F.struct(*[k.alias(f"k{i}") for i, k in enumerate((*keys, *last_key))], *shown)
 
-    day = F.col("match_date")
-    found = matches.filter(oldest | latest | home | away | most).agg(
-        F.min(F.when(oldest, keyed())).alias("oldest"),
-        F.max(F.when(latest, keyed())).alias("latest"),
-        F.min(F.when(home, keyed(-F.col("home_score"), day))).alias("home"),
-        F.min(F.when(away, keyed(-F.col("away_score"), day))).alias("away"),
-        F.min(F.when(most, keyed(-labels.top_score(), day))).alias("most"),
+    found = matches.filter(reaching).agg(
+        F.min(keyed(day)).alias("oldest"),
+        F.max(keyed(day)).alias("latest"),
+        F.min(F.when(labels.home_won(), keyed(-difference, -home_score, day))).alias("home"),
+        F.min(F.when(labels.away_won(), keyed(difference, -away_score, day))).alias("away"),
+        F.min(F.when(total.isNotNull(), keyed(-total, -labels.top_score(), day))).alias("most"),
     )
 
     def margin(match: str) -> Column:

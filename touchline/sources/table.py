@@ -146,10 +146,11 @@ def _error_messages(df: DataFrame) -> list[str]:
 
 
 def _neutral_message(df: DataFrame) -> list[str]:
-    if "neutral" not in df.columns:
+    kind = df.schema["neutral"].dataType if "neutral" in df.columns else T.NullType()
+    if isinstance(kind, (T.BooleanType, T.NullType)):
         return []
     value = F.col("neutral")
-    lost = df.filter(value.isNotNull() & _flag(value, df.schema["neutral"].dataType).isNull())
+    lost = df.filter(value.isNotNull() & _flag(value, kind).isNull())
     return [C.MSG_UNKNOWN_NEUTRAL] if lost.limit(1).count() else []
 
 
