@@ -53,10 +53,14 @@ def team_rows(enriched: DataFrame, team: str) -> DataFrame:
     return team_long(enriched.filter(played)).filter(F.col("team") == team)
 
 
+def team_names(matches: DataFrame) -> DataFrame:
+    """The names of both sides, two rows per match."""
+    return matches.unpivot([], ["home_team", "away_team"], "_side", "team_name").select("team_name")
+
+
 def unique_teams(matches: DataFrame) -> DataFrame:
     """Distinct names over both sides."""
-    names = matches.select("home_team", "away_team").unpivot([], ["home_team", "away_team"], "_side", "team_name")
-    return names.select("team_name").distinct()
+    return team_names(matches).distinct()
 
 
 def distinct_count(df: DataFrame, column: str) -> Column:

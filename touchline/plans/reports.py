@@ -11,7 +11,7 @@ from touchline.functions.numeric import exact_mean, exact_pct, exact_share, row_
 from touchline.functions.ordering import down, sort_few, tie_break, up
 from touchline.operators.enrich import as_fact
 from touchline.operators.filters import decisive, suspicious_scores
-from touchline.operators.reshape import distinct_count, team_sides, unique_teams, with_code
+from touchline.operators.reshape import distinct_count, team_names, team_sides, with_code
 
 
 def dataset_overview(matches: DataFrame, approx: bool = False) -> DataFrame:
@@ -34,7 +34,7 @@ def dataset_overview(matches: DataFrame, approx: bool = False) -> DataFrame:
         )
     return matches.agg(*facts).select(
         "*",
-        distinct_count(unique_teams(matches), "team_name").alias("unique_team_count"),
+        distinct_count(team_names(matches), "team_name").alias("unique_team_count"),
         distinct_count(matches, "tournament").alias("tournament_count"),
         distinct_count(matches, "country").alias("country_count"),
     )

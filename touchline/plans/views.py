@@ -9,7 +9,7 @@ from touchline import contract as C
 from touchline.functions import labels
 from touchline.functions.numeric import half_even, pct, ratio, row_count
 from touchline.functions.ordering import down, sort_few, tie_break, up
-from touchline.operators.reshape import distinct_count, team_long, team_sides, unique_teams
+from touchline.operators.reshape import distinct_count, team_long, team_names, team_sides, unique_teams
 
 _HOME_WIN, _DRAW, _AWAY_WIN = C.RESULTS
 
@@ -32,7 +32,7 @@ def _kpis(matches: DataFrame) -> DataFrame:
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.avg("total_goals").alias("avg_goals"),
-    ).withColumn("teams", distinct_count(unique_teams(matches), "team_name"))
+    ).withColumn("teams", distinct_count(team_names(matches), "team_name"))
 
 
 def overview_kpis(matches: DataFrame) -> DataFrame:

@@ -124,5 +124,10 @@ def _header_name(name: str) -> str:
 
 
 def _as_utf8(value: Column) -> Column:
+    """Decode the bytes a scan passed through. Plain ASCII, where bytes and characters agree, is done already."""
     text = F.encode(value, _BYTES).cast("string")
-    return F.when(F.is_valid_utf8(text), text).when(value.isNotNull(), F.raise_error(F.lit(C.MSG_NOT_UTF8)))
+    return (
+        F.when(F.octet_length(value) == F.length(value), value)
+        .when(F.is_valid_utf8(text), text)
+        .when(value.isNotNull(), F.raise_error(F.lit(C.MSG_NOT_UTF8)))
+    )
