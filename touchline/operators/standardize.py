@@ -73,13 +73,20 @@ def final_columns(checked: DataFrame) -> DataFrame:
 
 
 def plan_standardization(
-    df: DataFrame, mapping: Mapping[str, str], as_of: date | None = None, duplicates: bool = True
+    df: DataFrame,
+    mapping: Mapping[str, str],
+    as_of: date | None = None,
+    duplicates: bool = True,
+    stripped: bool = False,
 ) -> Standardization:
+    """stripped says that the text is trimmed already, as after a CSV scan."""
     mapping = clean_mapping(mapping)
     problems = check_mapping(df.columns, mapping)
     if problems:
         return Standardization(df, mapping, problems)
-    mapped = strip_strings(apply_mapping(df, mapping))
+    mapped = apply_mapping(df, mapping)
+    if not stripped:
+        mapped = strip_strings(mapped)
     types = {f.name: f.dataType for f in mapped.schema.fields}
     added = [c for c in C.OPTIONAL if c not in types]
     raw_neutral = F.col("neutral").cast("string") if "neutral" in types else F.lit(None).cast("string")

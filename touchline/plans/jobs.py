@@ -36,7 +36,7 @@ def standardize_job(
     pass, and the folder is moved in only if no error was counted. The duplicate rule reads the staged rows.
     """
     df = read_matches_csv(spark, source)
-    plan = plan_standardization(df, mapping, as_of, duplicates)
+    plan = plan_standardization(df, mapping, as_of, duplicates, stripped=True)
     blocked = [C.MSG_OUTPUT_EXISTS.format(output)] if files.exists(spark, output) and not overwrite else []
     with encoding_errors():
         if plan.mapping_errors or blocked:
