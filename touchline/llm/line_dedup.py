@@ -8,7 +8,6 @@ distance. Equal lines are one line throughout, so a line that a third of all doc
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,19 +85,30 @@ def probe_places(length: int, target: int, edits: int):
             yield i, start, size
 
 
-def _keys(line: str, edits: int) -> tuple[list[int], list[int]]:
-    """Keys under which a line stands, and keys that it asks for (lengths up to its own)."""
-    n = len(line)
-    data = line.encode("utf-32-le", "surrogatepass")
+def _cuts(n: int, edits: int) -> tuple[list, list]:
+    """For a line of length n: seed, start and end of its own segments, and of the substrings it asks for."""
 
-    def key(target: int, i: int, start: int, size: int) -> int:
-        return xxh3_64_intdigest(data[4 * start : 4 * (start + size)], target << 3 | i) - (1 << 63)
+    def cut(target: int, i: int, start: int, size: int) -> tuple[int, int, int]:
+        return target << 3 | i, start, start + size
 
-    own = [key(n, i, at, size) for i, (at, size) in enumerate(segments(n, edits))]
-    asked = {key(t, *p) for t in range(max(0, n - edits), n) for p in probe_places(n, t, edits)}
+    own = [cut(n, i, at, size) for i, (at, size) in enumerate(segments(n, edits))]
+    asked = [cut(t, *p) for t in range(max(0, n - edits), n + 1) for p in probe_places(n, t, edits)]
     # lines of its own length meet under equal segments and under shifted ones
-    asked |= {key(n, *p) for p in probe_places(n, n, edits)} - set(own)
-    return own, sorted(asked)
+    return own, [c for c in asked if c not in own]
+
+
+_KNOWN_CUTS: dict[tuple[int, int], tuple[list, list]] = {}
+
+
+def _keys(line: str, edits: int) -> tuple[list[int], list[int]]:
+    """Keys under which a line stands, and keys that it asks for (lengths up to its own)."""
+    if (len(line), edits) not in _KNOWN_CUTS:
+        if len(_KNOWN_CUTS) > 4096:
+            _KNOWN_CUTS.clear()
+        _KNOWN_CUTS[len(line), edits] = _cuts(len(line), edits)
+    own, asked = _KNOWN_CUTS[len(line), edits]
+    stands = [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for seed, a, b in own]
+    return stands, [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for seed, a, b in asked]
 
 
 def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> tuple[DataFrame, DataFrame]:
@@ -111,12 +121,14 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int
     return each.select("doc_id", "line_no", "line_key"), distinct
 
 
+_PLACES = np.uint64(4) * np.arange(16, dtype=np.uint64)
+
+
 def _letter_counts(line: str) -> int:
     """16 counters of 4 bits: how many letters fall into each of 16 classes. One edit changes them by at most 2 in all."""
-    counts = [0] * 16
-    for c, n in Counter(line).items():
-        counts[(ord(c) * 0x9E37 >> 4) & 15] += n
-    return sum((n & 15) << (4 * i) for i, n in enumerate(counts)) - (1 << 63)
+    letters = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+    counts = np.bincount((letters * np.uint32(0x9E37) >> np.uint32(4)) & np.uint32(15), minlength=16)
+    return int(((counts.astype(np.uint64) & np.uint64(15)) << _PLACES).sum().view(np.int64))
 
 
 def _close_counts(a: np.ndarray, b: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
