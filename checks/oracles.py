@@ -396,7 +396,7 @@ _TEAM_YEARS = f"SELECT year, {_TALLY} FROM team_long WHERE team = '{_TEAM}' GROU
 def oracle_sql() -> dict[str, str]:
     slice_ = f", slice AS (SELECT * FROM enriched WHERE tournament = '{_TOURNAMENT}')"
     explorer = f"{ENRICHED} SELECT * FROM enriched WHERE {{}} ORDER BY date DESC, match_id LIMIT {{}}"
-    return {
+    found = {
         "csv_roundtrip": RAW
         + " SELECT match_date, trim(home) AS home, trim(away) AS away, trim(home_goals) AS home_goals,"
         " trim(away_goals) AS away_goals, trim(competition) AS competition, trim(neutral_site) AS neutral_site,"
@@ -589,3 +589,4 @@ UNION ALL SELECT year, matches, goals_for, goals_against, 'losses', losses FROM
         " goal_difference, tournament, country FROM slice"
         " ORDER BY goal_difference DESC, total_goals DESC, date DESC, match_id LIMIT 10",
     }
+    return found | {"open_matches_file": found["most_successful_teams"]}

@@ -137,6 +137,13 @@ def _open_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("tournament").agg(F.count(F.lit(1)).alias("row_count"), F.max("date").alias("last_date")).select("*", kind)
 
 
+def _open_matches_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over a CSV export, opened because there is no table."""
+    path = scratch_path(spark, "fallback") + ".csv"
+    outputs.export_slice(enrich_matches(fixtures.matches(spark, sf_dir)), path)
+    return reports.most_successful_teams(table.open_matches(spark, None, path)[0])
+
+
 def _standardize_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract rows exported under their own names, standardised and published by the job."""
     path = scratch_path(spark, "standardize")
@@ -160,6 +167,7 @@ def queries() -> dict[str, Query]:
         "load_matches": _load_matches,
         "rows_by_source": _rows_by_source,
         "open_matches": _open_matches,
+        "open_matches_file": _open_matches_file,
         "prepare_for_load": lambda s, d: table.prepare_for_load(_contract_rows(s, d), "season.csv"),
         # standardisation, quality, profile
         "standardize_matches": _on_raw(_standardized),

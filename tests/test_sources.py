@@ -45,6 +45,56 @@ def test_read_and_validate(spark, file):
     assert data.schema["date"].dataType.simpleString() == "date"
 
 
+def test_long_lines_fail_and_short_ones_are_filled(spark, file, tmp_path):
+    path = file(HEADER + LINES + "2024-01-03,A,B,1\n")
+    assert [r["tournament"] for r in csv.read_matches_csv(spark, path).orderBy("date").collect()][2] is None
+    long = file(HEADER + LINES + '2024-01-03,A,"B, ""C""",1,0,Cup,Final,X,Y,true\n', "long.csv")
+    for read in (lambda d: d.count(), lambda d: d.select("home_team").collect(), lambda d: d.collect()):
+        with pytest.raises(ValueError, match="more fields"), csv.scan_errors():
+            read(csv.read_matches_csv(spark, long))
+    with pytest.raises(ValueError, match="more fields"), csv.scan_errors():
+        csv.read_matches_dir(spark, str(tmp_path)).count()
+    for job in (lambda: jobs.standardize_job(spark, long, SAME, str(tmp_path / "out")), lambda: jobs.profile_job(spark, long)):
+        with pytest.raises(ValueError, match="more fields"):
+            job()
+
+
+def test_open_quotes_name_the_option(spark, file):
+    text = HEADER + '2024-01-01,"Alpha\nUnited",B,1,0,Cup,C,D,true\n'
+    with pytest.raises(ValueError, match="multi_line"), csv.scan_errors():
+        csv.read_matches_csv(spark, file(text)).collect()
+    assert csv.read_matches_csv(spark, file(text), multi_line=True).first()["home_team"] == "Alpha\nUnited"
+
+
+def test_clashing_headers_are_named(spark, file):
+    with pytest.raises(ValueError, match="home_team"):
+        csv.read_matches_csv(spark, file("Home_Team, home_team\na,b\n"))
+
+
+def test_file_names_come_as_given(spark, file, tmp_path):
+    names = sorted(["my season ü.csv", "a+b.csv", "50%.csv"])
+    for name in names:
+        file(HEADER + LINES, name)
+    found = csv.read_matches_dir(spark, str(tmp_path)).select("source_file").distinct().collect()
+    assert sorted(r["source_file"] for r in found) == names
+    assert sorted(r["name"] for r in csv.list_match_files(spark, str(tmp_path)).collect()) == names
+
+
+def test_layouts_reach_the_jobs(spark, file, tmp_path):
+    text = "day,h,a,x,y,t\n31/12/2023,A,B,10,9,Cup\n2024-01-01T18:00:00,C,D,1,0,Cup\n2024-01-02 18:00,C,D,1,0,Cup\n"
+    mapping = dict(zip(C.REQUIRED, ["day", "h", "a", "x", "y", "t"]))
+    formats = (*C.DATE_FORMATS, (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"))
+    out = str(tmp_path / "out.csv")
+    assert jobs.standardize_job(spark, file(text), mapping, out, fmt="csv", date_formats=formats).first()["is_successful"]
+    rows, _ = table.open_matches(spark, None, out)
+    assert [str(r["date"]) for r in rows.orderBy("date").collect()] == ["2023-12-31", "2024-01-01", "2024-01-02"]
+    assert rows.filter("home_score > away_score").count() == 3  # 10 is more than 9
+
+
+def test_absent_source_counts_zero(spark, new_table):
+    assert [tuple(r) for r in table.rows_by_source(spark, new_table, "none.csv").collect()] == [("none.csv", 0)]
+
+
 def test_missing_tokens_blanks_quotes_and_bad_dates(spark, file):
     text = HEADER + 'bad," Álpha, ""A"" ",NA, NA ,   ,None,"","N/A",\n'
     row = csv.read_matches_csv(spark, file(text)).first()
@@ -60,7 +110,7 @@ def test_byte_order_mark_and_accents_in_header(spark, file):
 
 def test_text_that_is_not_utf8_is_an_error(spark, file):
     path = file(HEADER + LINES.replace("Beta", "Béta"), encoding="latin-1")
-    with pytest.raises(ValueError, match="UTF-8"), csv.encoding_errors():
+    with pytest.raises(ValueError, match="UTF-8"), csv.scan_errors():
         csv.read_matches_csv(spark, path).collect()
 
 

@@ -104,8 +104,11 @@ WHITESPACE = (
 # Whole or fractional decimal text, with an optional exponent.
 NUMBER_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
-# Accepted date layouts: the text shape, then the pattern that parses it (None: year-month-day).
-DATE_FORMATS = ((r"^\d{4}-\d{1,2}-\d{1,2}$", None),)
+# Accepted date layouts: the text shape, then the pattern that parses it (None: year-month-day, maybe with a time, which is cut off).
+DATE_FORMATS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", None),
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$", None),
+)
 
 RESULTS = ("Home win", "Draw", "Away win")
 
@@ -140,4 +143,8 @@ MSG_DID_NEUTRAL = "Standardized 'neutral' to nullable boolean."
 MSG_OUTPUT_EXISTS = "Output already exists: {}. Use overwrite to replace it."
 MSG_SOURCE_LOADED = "Rows for source_file '{}' already exist in matches."
 MSG_NOT_LOADABLE = "Standardized data is not valid for loading: "
+MSG_TOO_MANY_FIELDS = "A line of the CSV file has more fields than the header."
+MSG_OPEN_QUOTE = "A line of the CSV file has an unclosed quote. Read files with line breaks inside quotes with multi_line=True."
+MSG_HEADERS_CLASH = "CSV headers agree after trimming and lower-casing: {}."
+MSG_NO_SCRATCH = "Set spark.checkpoint.dir to a folder that all machines share, or pass a path."
 MSG_NOT_UTF8 = "Could not read the CSV file as UTF-8. Please check the file encoding."

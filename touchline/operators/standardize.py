@@ -78,6 +78,7 @@ def plan_standardization(
     as_of: date | None = None,
     duplicates: bool = True,
     stripped: bool = False,
+    date_formats=C.DATE_FORMATS,
 ) -> Standardization:
     """stripped says that the text is trimmed already, as after a CSV scan."""
     mapping = clean_mapping(mapping)
@@ -90,19 +91,19 @@ def plan_standardization(
     types = {f.name: f.dataType for f in mapped.schema.fields}
     added = [c for c in C.OPTIONAL if c not in types]
     raw_neutral = F.col("neutral").cast("string") if "neutral" in types else F.lit(None).cast("string")
-    contract = [_checked_column(c, types).alias(c) for c in C.CONTRACT]
+    contract = [_checked_column(c, types, date_formats).alias(c) for c in C.CONTRACT]
     rules = quality.build_rules(mapped.select(*contract), as_of, duplicates, stripped=True)
     _conversion_rules(rules)
     checked = rules.prepare(mapped.select(*contract, raw_neutral.alias("_neutral")))
     return Standardization(df, mapping, [], checked, rules, added)
 
 
-def _checked_column(name: str, types: dict[str, T.DataType]) -> Column:
+def _checked_column(name: str, types: dict[str, T.DataType], date_formats) -> Column:
     target = C.INTERIM_SCHEMA[name].dataType
     if name not in types:
         return F.lit(None).cast(target)
     if name == "date":
-        return parsing.parse_date(F.col(name), types[name], stripped=True)
+        return parsing.parse_date(F.col(name), types[name], date_formats, stripped=True)
     if name == "neutral":
         return parsing.normalize_neutral(F.col(name), types[name], stripped=True)
     return F.col(name) if name in C.SCORES else F.col(name).cast(target)
@@ -156,10 +157,10 @@ def audit_from(plan: Standardization, counts: DataFrame, source_file: str = "",
 
 
 def standardize_matches(
-    df: DataFrame, mapping: Mapping[str, str], as_of: date | None = None, duplicates: bool = True
+    df: DataFrame, mapping: Mapping[str, str], as_of: date | None = None, duplicates: bool = True, date_formats=C.DATE_FORMATS
 ) -> tuple[DataFrame, DataFrame]:
     """(data, audit), both lazy. With a broken mapping the data is empty and the audit says why."""
-    plan = plan_standardization(df, mapping, as_of, duplicates)
+    plan = plan_standardization(df, mapping, as_of, duplicates, date_formats=date_formats)
     return plan.data(), audit_from(plan, plan.counts(duplicates))
 
 

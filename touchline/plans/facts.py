@@ -105,7 +105,7 @@ def _year_facts(matches: DataFrame, min_year_matches: int) -> tuple[DataFrame, d
     per_match = F.concat(rich["mean"].cast("string"), F.lit(" goals per match across "), _matches_text(rich["n"]))
     return found, {
         2: _fact("Most active year", busy["year"], _matches_text(busy["n"])),
-        3: _fact("Highest-scoring year (50+ matches)", rich["year"], per_match),
+        3: _fact(f"Highest-scoring year ({min_year_matches}+ matches)", rich["year"], per_match),
     }
 
 

@@ -15,7 +15,7 @@ from touchline.operators.profile import column_profile, dataset_profile
 from touchline.operators.standardize import AUDIT_SCHEMA, audit_from, audit_lines, final_columns, plan_standardization
 from touchline.session import scratch_path
 from touchline.sources import files
-from touchline.sources.csv import encoding_errors, read_matches_csv
+from touchline.sources.csv import scan_errors, read_matches_csv
 from touchline.sources.outputs import write_as, write_output
 from touchline.sources.table import load_matches
 
@@ -29,16 +29,19 @@ def standardize_job(
     as_of: date | None = None,
     fmt: str = "parquet",
     duplicates: bool = True,
+    date_formats=C.DATE_FORMATS,
+    **scan,
 ) -> DataFrame:
     """Read, standardise, check and publish; returns the audit row. Any error leaves the output as it was.
 
     The CSV is parsed once: rows go to a staging folder while the rule counts are taken from the same
     pass, and the folder is moved in only if no error was counted. The duplicate rule reads the staged rows.
+    date_formats holds for the date column under whatever name; scan takes na_tokens and multi_line.
     """
-    df = read_matches_csv(spark, source)
-    plan = plan_standardization(df, mapping, as_of, duplicates, stripped=True)
+    df = read_matches_csv(spark, source, date_formats=date_formats, **scan)
+    plan = plan_standardization(df, mapping, as_of, duplicates, stripped=True, date_formats=date_formats)
     blocked = [C.MSG_OUTPUT_EXISTS.format(output)] if files.exists(spark, output) and not overwrite else []
-    with encoding_errors():
+    with scan_errors():
         if plan.mapping_errors or blocked:
             audit = _fixed(audit_from(plan, plan.counts(duplicates), source), AUDIT_SCHEMA)
             return _with_errors(audit, blocked)
@@ -88,15 +91,15 @@ def write_audit(audit: DataFrame, path: str, overwrite: bool = True) -> None:
     write_output(audit_lines(audit), path, overwrite)
 
 
-def load_job(spark: SparkSession, path: str, table: str = "matches", replace: bool = False) -> int:
-    """Load a standardised CSV under its file name; returns the number of rows loaded."""
-    with encoding_errors():
-        df = read_matches_csv(spark, path)
+def load_job(spark: SparkSession, path: str, table: str = "matches", replace: bool = False, **scan) -> int:
+    """Load a standardised CSV under its file name; returns the number of rows loaded. scan takes the options of the scan."""
+    with scan_errors():
+        df = read_matches_csv(spark, path, **scan)
         return load_matches(spark, df, table, files.base_name(path), replace)
 
 
 def profile_job(
-    spark: SparkSession, path: str, output: str | None = None, as_of: date | None = None, approx: bool = False
+    spark: SparkSession, path: str, output: str | None = None, as_of: date | None = None, approx: bool = False, **scan
 ) -> tuple[DataFrame, DataFrame]:
     """(dataset profile with validation texts, column profile) of a CSV file, stored as two tables if asked.
 
@@ -104,8 +107,8 @@ def profile_job(
     """
     copy = scratch_path(spark, "profile")
     try:
-        with encoding_errors():
-            read_matches_csv(spark, path).write.parquet(copy)
+        with scan_errors():
+            read_matches_csv(spark, path, **scan).write.parquet(copy)
         df = spark.read.parquet(copy)
         report = quality.validate_matches(df, as_of, stripped=True)
         table_level = _fixed(dataset_profile(df, files.base_name(path), report, approx))

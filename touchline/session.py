@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from touchline import contract as C
+
 
 def local_session(
     cpus: int | str = "*", app: str = "touchline", settings: dict[str, str] | None = None
@@ -31,13 +34,16 @@ def local_session(
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for intermediate output, in the shared folder of spark.checkpoint.dir.
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path for intermediate output, in the given folder or else in the shared one of spark.checkpoint.dir.
 
-    Only where no such folder is set, as in local tests, a temporary folder of this machine is used.
+    Without either, a temporary folder of this machine is used if the master is local; on several machines, which
+    would each write to a disk of their own, it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError(C.MSG_NO_SCRATCH)
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -20,6 +20,7 @@ from touchline.sources import files
 # Every byte is one character in this encoding, so a scan passes bytes through unchanged
 # and the text can be checked and decoded exactly.
 _BYTES = "ISO-8859-1"
+_ODD_LINE = "_odd_line"
 
 
 def read_matches_csv(
@@ -32,8 +33,9 @@ def read_matches_csv(
     """Scan one CSV file: UTF-8, header row, names trimmed and lower-cased, all columns text
     except date; missing-value tokens are NULL, text is trimmed, an unreadable date is NULL.
 
-    Bytes that are not UTF-8 fail the scan (see encoding_errors). Files split across tasks at line
-    ends; multi_line=True accepts line breaks inside quotes, at the price of one task per file.
+    Bytes that are not UTF-8 fail the scan (see scan_errors), as do lines with more fields than the header and, without
+    multi_line, quotes left open; shorter lines are filled with NULL. Files split across tasks at line ends;
+    multi_line=True accepts line breaks inside quotes, at the price of one task per file.
     """
     if not files.exists(spark, path):
         raise FileNotFoundError(f"CSV file does not exist: {path}")
@@ -65,21 +67,22 @@ def list_match_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_and_validate(
-    spark: SparkSession, path: str, as_of: date | None = None, duplicates: bool = True
+    spark: SparkSession, path: str, as_of: date | None = None, duplicates: bool = True, **scan
 ) -> tuple[DataFrame, DataFrame]:
-    """(data, validation report) of one CSV file."""
-    data = read_matches_csv(spark, path)
+    """(data, validation report) of one CSV file; scan takes the options of read_matches_csv."""
+    data = read_matches_csv(spark, path, **scan)
     return data, validate_matches(data, as_of, duplicates, stripped=True)
 
 
 @contextmanager
-def encoding_errors() -> Iterator[None]:
-    """Turn the failure of a scan over text that is not UTF-8 into a ValueError."""
+def scan_errors() -> Iterator[None]:
+    """Turn the failure of a scan over text that cannot be read in full into a ValueError."""
     try:
         yield
     except PySparkException as error:
-        if C.MSG_NOT_UTF8 in str(error):
-            raise ValueError(C.MSG_NOT_UTF8) from error
+        for message in (C.MSG_NOT_UTF8, C.MSG_TOO_MANY_FIELDS, C.MSG_OPEN_QUOTE):
+            if message in str(error):
+                raise ValueError(message) from error
         raise
 
 
@@ -91,21 +94,29 @@ def _check_dir(spark: SparkSession, path: str) -> None:
 
 
 def _scan(spark, path, na_tokens, date_formats, multi_line, source_file=False) -> DataFrame:
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("encoding", _BYTES)
         .option("escape", '"')
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", _ODD_LINE)
+        .option("columnPruning", False)  # a parser that skips fields does not count them
         .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .csv(path)
     )
-    names = [_header_name(c) for c in raw.columns]
-    origin = [F.col("_metadata.file_name").alias("source_file")] if source_file else []
+    header = reader.csv(path).columns
+    names = [_header_name(c) for c in header]
+    if clashes := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(C.MSG_HEADERS_CLASH.format(", ".join(clashes)))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _ODD_LINE)])
+    raw = reader.schema(schema).csv(path)
+    if header:
+        raw = raw.filter(_is_whole(header, multi_line))
+    origin = [file_name(F.col("_metadata.file_name")).alias("source_file")] if source_file else []
     kept = [F.col("source_file")] if source_file else []
     # One projection per step: each step uses its input more than once, and as one expression
     # the steps would multiply.
-    decoded = raw.select(*[_as_utf8(ref(c)).alias(n) for c, n in zip(raw.columns, names)], *origin)
+    decoded = raw.select(*[_as_utf8(ref(c)).alias(n) for c, n in zip(header, names)], *origin)
     present = decoded.select(*[blank_to_null(ref(n), na_tokens).alias(n) for n in names], *kept)
 
     def typed(name: str) -> Column:
@@ -116,6 +127,24 @@ def _scan(spark, path, na_tokens, date_formats, multi_line, source_file=False) -
     return present.select(*[typed(n).alias(n) for n in names], *kept)
 
 
+def file_name(name: Column) -> Column:
+    """The name of a file as it was given, from the percent-encoded form in which Spark reports it."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _is_whole(header: list[str], multi_line: bool) -> Column:
+    """TRUE, or a failure for a line with too many fields or an open quote. Spark hands over lines whose number of fields is odd.
+
+    A filter is never pruned away. It reads the first column too, as Spark refuses to read the odd lines alone.
+    """
+    line = F.concat(ref(_ODD_LINE), F.left(F.coalesce(ref(header[0]), F.lit("")), F.lit(0)))
+    bare = F.regexp_replace(line, '"([^"]|"")*"', "")
+    stop = F.when(F.length(bare) - F.length(F.replace(bare, F.lit(","))) >= len(header), F.raise_error(F.lit(C.MSG_TOO_MANY_FIELDS)).cast("boolean"))
+    if not multi_line:
+        stop = F.when(bare.contains('"'), F.raise_error(F.lit(C.MSG_OPEN_QUOTE)).cast("boolean")).otherwise(stop)
+    return F.when(line.isNull(), True).otherwise(F.coalesce(stop, F.lit(True)))
+
+
 def _header_name(name: str) -> str:
     try:
         return name.encode(_BYTES).decode("utf-8").strip().lower()

@@ -13,6 +13,7 @@ from touchline import contract as C
 from touchline.functions import parsing
 from touchline.functions.numeric import row_count
 from touchline.functions.text import strip
+from touchline.operators.enrich import conform
 from touchline.operators.quality import validate_matches
 from touchline.session import session_conf
 from touchline.sources import files
@@ -45,12 +46,12 @@ def read_matches_jdbc(
     spark: SparkSession,
     url: str,
     table: str = "matches",
-    lower: int = 1,
-    upper: int = 1_000_000_000,
     partitions: int = 32,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """The same columns from a database, read in parallel over match_id ranges."""
+    """The same columns from a database, read in parallel over ranges between the smallest and largest match_id."""
+    ends = spark.read.jdbc(url, f"(SELECT min(match_id) AS low, max(match_id) AS high FROM {table}) ends", properties=properties or {}).first()
+    lower, upper = (ends[0], ends[1] + 1) if ends[0] is not None else (0, 1)
     rows = spark.read.jdbc(
         url,
         table,
@@ -66,23 +67,27 @@ def read_matches_jdbc(
 def open_matches(
     spark: SparkSession, table: str | None = "matches", fallback_path: str | None = None
 ) -> tuple[DataFrame, str]:
-    """(rows, label of the source used): the table first, then a standardised output, else DataUnavailable."""
+    """(rows, label of the source used): the table first, then a standardised output, else DataUnavailable.
+
+    Either way the rows are typed by the contract, so a CSV output gives numbers where the table does.
+    """
     if table and spark.catalog.tableExists(table):
-        return read_matches_table(spark, table), f"table: {table}"
+        return conform(read_matches_table(spark, table)), f"table: {table}"
     if fallback_path and files.exists(spark, fallback_path):
         if fallback_path.rstrip("/").lower().endswith(".csv"):
             rows = read_matches_csv(spark, fallback_path)
         else:
             rows = spark.read.parquet(fallback_path)
-        return rows, f"file: {fallback_path}"
+        return conform(rows), f"file: {fallback_path}"
     raise DataUnavailable("No match data: load the matches table or write a standardised output first.")
 
 
 def rows_by_source(spark: SparkSession, table: str = "matches", source_file: str | None = None) -> DataFrame:
-    """Rows per source; with a name, that partition alone is read."""
+    """Rows per source; with a name, that partition alone is read and there is one row, with 0 for an absent source."""
     rows = spark.table(table)
     if source_file is not None:
-        rows = rows.filter(F.col("source_file") == source_file)
+        named = rows.filter(F.col("source_file") == source_file)
+        return named.agg(F.lit(source_file).alias("source_file"), row_count().alias("row_count"))
     return rows.groupBy("source_file").agg(row_count().alias("row_count"))
 
 
