@@ -29,7 +29,7 @@ _RUN = f"{MARK}{MARK}"
 class Pieces:
     """The pieces of a model file, their automaton, and how single letters without a piece are spelt in bytes."""
 
-    def __init__(self, model_path: str, limit: int = 400_000):
+    def __init__(self, model_path: str, limit: int = 800_000):
         import ahocorasick
         import sentencepiece
 
