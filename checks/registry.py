@@ -153,6 +153,53 @@ def _standardize_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _load_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids after the loads of two sources: unique and without gaps."""
+    name = _new_table(spark)
+    rows = _contract_rows(spark, sf_dir)
+    table.load_matches(spark, rows, name, "first.csv")
+    table.load_matches(spark, rows, name, "second.csv")
+    return spark.table(name).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("match_id").alias("first_id"), F.max("match_id").alias("last_id"),
+        F.count_distinct("match_id").alias("distinct_ids"),
+    )
+
+
+def _standardize_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with days first in every other row and a time of day in the others, standardised and published by the job."""
+    path = scratch_path(spark, "layouts")
+    source, target = f"{path}/source.csv", f"{path}/out"
+    day = F.when(F.col("match_id") % 2 == 0, F.date_format("match_date", "dd/MM/yyyy")).otherwise(
+        F.date_format("match_date", "yyyy-MM-dd'T'HH:mm:ss")
+    )
+    rows = fixtures.matches(spark, sf_dir).withColumn("played", day).select("played", *C.CONTRACT[1:])
+    outputs.write_output(rows, source, fmt="csv")
+    layouts = (*C.DATE_FORMATS, (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"))
+    mapping = {"date": "played"} | {c: c for c in C.CONTRACT[1:]}
+    jobs.standardize_job(spark, source, mapping, target, date_formats=layouts)
+    return spark.read.parquet(target)
+
+
+def _profile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored column profile of a CSV file."""
+    path = scratch_path(spark, "profiled")
+    outputs.write_output(fixtures.raw_matches(spark, sf_dir), f"{path}/raw.csv", fmt="csv")
+    jobs.profile_job(spark, f"{path}/raw.csv", f"{path}/out", AS_OF)
+    return spark.read.parquet(f"{path}/out/column_profile")
+
+
+def _validation_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that only fire on frames of another shape: a text date, no tournament, no rows."""
+    rows = _contract_rows(spark, sf_dir)
+    shapes = {
+        "text date": rows.withColumn("date", F.col("date").cast("string")),
+        "no tournament": rows.drop("tournament"),
+        "no rows": rows.filter(F.year("date") < 1900),
+    }
+    reports_ = [quality.validate_matches(df, AS_OF, duplicates=False).withColumn("shape", F.lit(s)) for s, df in shapes.items()]
+    return reports_[0].unionByName(reports_[1]).unionByName(reports_[2])
+
+
 def _smoothed(window: int) -> Query:
     return _on_enriched(lambda m: views.smooth_yearly(views.yearly_trends(m), window))
 
@@ -168,6 +215,9 @@ def queries() -> dict[str, Query]:
         "rows_by_source": _rows_by_source,
         "open_matches": _open_matches,
         "open_matches_file": _open_matches_file,
+        "load_ids": _load_ids,
+        "standardize_layouts": _standardize_layouts,
+        "profile_job": _profile_job,
         "prepare_for_load": lambda s, d: table.prepare_for_load(_contract_rows(s, d), "season.csv"),
         # standardisation, quality, profile
         "standardize_matches": _on_raw(_standardized),
@@ -178,6 +228,7 @@ def queries() -> dict[str, Query]:
         "validation_summary": _on_raw(
             lambda r: quality.validation_summary(_as_read(r), AS_OF, stripped=True).drop("errors", "warnings")
         ),
+        "validation_edge": _validation_edge,
         "dataset_profile": _on_raw(lambda r: profile.dataset_profile(_as_read(r), "raw.csv")),
         "column_profile": _on_raw(lambda r: profile.column_profile(_as_read(r))),
         # projections and filters
@@ -215,12 +266,14 @@ def queries() -> dict[str, Query]:
         "filter_options": _on_enriched(views.filter_options),
         "outcome_distribution": _on_enriched(views.outcome_distribution),
         "goals_histogram": _on_enriched(views.goals_histogram),
+        "goals_histogram_2": _on_enriched(lambda m: views.goals_histogram(m, 2)),
         "scoreline_frequency": _on_enriched(views.scoreline_frequency),
         "top_tournaments": _on_enriched(views.top_tournaments),
         "top_host_countries": _on_enriched(views.top_host_countries),
         "top_host_cities": _on_enriched(views.top_host_cities),
         "matches_per_year": _on_enriched(views.matches_per_year),
         "yearly_trends": _on_enriched(views.yearly_trends),
+        "yearly_trends_known": _on_enriched(lambda m: views.with_home_win_share(views.yearly_trends(m))),
         "yearly_trends_smoothed": _smoothed(3),
         "yearly_trends_smoothed_5": _smoothed(5),
         "venue_comparison": _on_enriched(views.venue_comparison),

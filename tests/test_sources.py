@@ -299,6 +299,14 @@ def test_first_load_and_ids(spark, valid, new_table):
     assert len(set(ids)) == 4 and max(ids[:2]) < min(ids[2:])
 
 
+def test_ids_have_no_gaps_however_many_tasks_load(spark, make, new_table):
+    rows = make([changed(VALID[i % 2], date=f"2024-0{1 + i % 9}-11") for i in range(640)]).repartition(64)
+    assert table.load_matches(spark, rows, new_table, "a.csv") == 640
+    assert table.load_matches(spark, rows.limit(7), new_table, "b.csv") == 7
+    ids = sorted(r["match_id"] for r in spark.table(new_table).collect())
+    assert ids == list(range(1, 648))
+
+
 def test_repeated_load_is_rejected_and_changes_nothing(spark, valid, new_table):
     table.load_matches(spark, valid, new_table, "a.csv")
     before = as_dicts(spark.table(new_table).orderBy("match_id"))

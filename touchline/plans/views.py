@@ -9,7 +9,7 @@ from touchline import contract as C
 from touchline.functions import labels
 from touchline.functions.numeric import half_even, pct, ratio, row_count
 from touchline.functions.ordering import down, sort_few, tie_break, up
-from touchline.operators.reshape import distinct_count, team_long, team_names, team_sides, unique_teams
+from touchline.operators.reshape import distinct_count, team_long, team_names, team_sides
 
 _HOME_WIN, _DRAW, _AWAY_WIN = C.RESULTS
 
@@ -86,19 +86,21 @@ def overview_insights(matches: DataFrame) -> DataFrame:
 
 
 def filter_options(matches: DataFrame) -> DataFrame:
-    """(dimension, value) rows: teams of both sides, tournaments, countries, and year_min / year_max."""
-
-    def named(dimension: str, values: DataFrame) -> DataFrame:
-        return values.select(F.lit(dimension).alias("dimension"), F.col(values.columns[0]).alias("value"))
-
-    days = matches.agg(F.year(F.min("date")).alias("year_min"), F.year(F.max("date")).alias("year_max"))
-    years = days.select(*[F.col(c).cast("string").alias(c) for c in days.columns])
-    options = (
-        named("team", unique_teams(matches))
-        .unionByName(named("tournament", matches.select("tournament").distinct()))
-        .unionByName(named("country", matches.select("country").distinct()))
-        .unionByName(years.unpivot([], years.columns, "dimension", "value"))
-    )
+    """(dimension, value) rows: teams of both sides, tournaments, countries, and year_min / year_max.
+
+    One evaluation of the input: each row gives its names and its year twice, and equal ones merge before the shuffle.
+    """
+
+    def line(dimension: str, name: Column, year: Column) -> Column:
+        return F.struct(F.lit(dimension).alias("dimension"), name.cast("string").alias("name"), year.cast("int").alias("year"))
+
+    none = F.lit(None)
+    names = [("team", "home_team"), ("team", "away_team"), ("tournament", "tournament"), ("country", "country")]
+    lines = [line(dimension, F.col(c), none) for dimension, c in names]
+    lines += [line(dimension, none, F.year("date")) for dimension in ("year_min", "year_max")]
+    groups = matches.select(F.inline(F.array(*lines))).groupBy("dimension", "name").agg(F.min("year").alias("low"), F.max("year").alias("high"))
+    year = F.when(F.col("dimension") == "year_min", F.col("low")).otherwise(F.col("high"))
+    options = groups.select("dimension", F.coalesce("name", year.cast("string")).alias("value"))
     return options.filter(F.col("value").isNotNull()).orderBy("dimension", "value")
 
 

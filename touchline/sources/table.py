@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ from touchline.functions.numeric import row_count
 from touchline.functions.text import strip
 from touchline.operators.enrich import conform
 from touchline.operators.quality import validate_matches
-from touchline.session import session_conf
+from touchline.session import scratch_path, session_conf
 from touchline.sources import files
 from touchline.sources.csv import read_matches_csv
 
@@ -178,12 +178,14 @@ def load_matches(
     replace: bool = False,
     loaded_at: datetime | None = None,
     by_date: bool = True,
+    scratch: str | None = None,
 ) -> int:
     """Load one source; returns its row count. A source already present needs replace=True, which
     replaces its rows and no others. All or nothing.
 
-    One pass over the input: constraints are checked inside the write, which Spark stages and only
-    moves in at job commit. A broken row fails the job; the rules then run to say what was wrong.
+    One pass over the input: constraints are checked inside the write of a staged copy (in scratch, else the folder of
+    spark.checkpoint.dir). A broken row fails the job; the rules then run to say what was wrong. The staged rows get ids
+    without gaps and move into the table in a second write, which Spark only shows at job commit.
     by_date sorts each written file, so date ranges skip row groups.
     """
     problems = _schema_problems(df)
@@ -197,32 +199,46 @@ def load_matches(
     # The check sits in a column of the write, not in a filter: a filter would be pushed below the input's
     # own projections and repeat their work.
     ready = _with_helpers(df)
-    new_id = F.lit(first_id) + F.monotonically_increasing_id()
     stop = F.raise_error(F.lit(C.MSG_NOT_LOADABLE)).cast("bigint")
     stamp = F.lit(loaded_at) if loaded_at else F.current_timestamp()
     values = _load_values(ready, source_file)
-    values["match_id"] = F.when(_violation(ready), stop).otherwise(new_id).alias("match_id")
+    place = F.when(_violation(ready), stop).otherwise(F.monotonically_increasing_id()).alias("_place")
     values["loaded_at"] = stamp.cast("timestamp").alias("loaded_at")
-    rows = ready.select(*[values[f.name] for f in C.TABLE_SCHEMA.fields])
     seen = Observation()
-    rows = rows.observe(seen, row_count().alias("rows"), F.max("match_id").alias("last_id"))
-    if by_date:
-        rows = rows.sortWithinPartitions("source_file", "match_date")
-
-    _set_next_id(spark, table, _IN_DOUBT)
+    checked = ready.select(place, *values.values()).observe(seen, row_count().alias("rows"))
+    staged = scratch_path(spark, "load", scratch)
     try:
+        try:
+            checked.write.parquet(staged)
+        except PySparkException as error:
+            if C.MSG_NOT_LOADABLE in str(error):
+                _reject(_error_messages(df) or _neutral_message(df))
+            raise
+        loaded = seen.get["rows"]
+        _reject([] if loaded else [C.MSG_EMPTY])
+        rows = _numbered(spark.read.schema(checked.schema).parquet(staged), first_id).select(*C.TABLE_SCHEMA.names)
+        if by_date:
+            rows = rows.sortWithinPartitions("source_file", "match_date")
+        _set_next_id(spark, table, _IN_DOUBT)
         with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
             rows.write.insertInto(table, overwrite=True)
-    except PySparkException as error:
-        if C.MSG_NOT_LOADABLE in str(error):
-            _reject(_error_messages(df) or _neutral_message(df))
-        raise
-    counted = seen.get
-    if not counted["rows"]:
-        _set_next_id(spark, table, str(first_id))
-        _reject([C.MSG_EMPTY])
-    _set_next_id(spark, table, str(counted["last_id"] + 1))
-    return counted["rows"]
+        _set_next_id(spark, table, str(first_id + loaded))
+        return loaded
+    finally:
+        if files.exists(spark, staged):
+            files.delete(spark, staged)
+
+
+def _numbered(staged: DataFrame, first_id: int) -> DataFrame:
+    """match_id from first_id on, without gaps. _place holds the task (from bit 33 on) and the row inside it, so the ids of a
+    task start after the counts of the tasks before it. Those counts are one row per task of the staged write.
+    """
+    task = F.shiftright("_place", 33).alias("_task")
+    counts = staged.groupBy(task).agg(row_count().alias("n"))
+    before = F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_task", (F.coalesce(before, F.lit(0)) + first_id).alias("_start"))
+    row = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return staged.withColumn("_task", task).join(F.broadcast(starts), "_task").withColumn("match_id", F.col("_start") + row)
 
 
 def _schema_problems(df: DataFrame) -> list[str]:
@@ -234,7 +250,7 @@ def _schema_problems(df: DataFrame) -> list[str]:
 
 def _next_id(spark: SparkSession, table: str) -> int:
     """First free match_id. Kept as a table property, like a sequence, so a load need not scan the table;
-    the scan only runs when the last load did not finish. Gaps are normal; loads run one at a time.
+    the scan only runs when the last load did not finish. Loads run one at a time.
     """
     kept = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(_NEXT_ID)
     if kept and kept != _IN_DOUBT:
