@@ -12,10 +12,10 @@ RAW_MAPPING = {
     "date": "match_date",
     "home_team": "home",
     "away_team": "away",
-    "home_score": "home_goals",
-    "away_score": "away_goals",
-    "tournament": "competition",
-    "neutral": "neutral_site",
+    "home_score": "h_points",
+    "away_score": "a_points",
+    "tournament": "event",
+    "neutral": "elsewhere",
 }
 
 
@@ -85,11 +85,11 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(each(109), "1d")
         .when(each(2), F.concat(key % 5, F.lit(".0")))
         .otherwise((key % 24).cast("string"))
-        .alias("home_goals"),
-        F.when(~each(113), F.concat(F.lit(" "), cust % 6)).alias("away_goals"),
-        F.when(each(127), "   ").otherwise(F.col("o_orderpriority")).alias("competition"),
-        spelled.alias("neutral_site"),
-        F.col("o_orderstatus").alias("extra_notes"),
+        .alias("h_points"),
+        F.when(~each(113), F.concat(F.lit(" "), cust % 6)).alias("a_points"),
+        F.when(each(127), "   ").otherwise(F.col("o_orderpriority")).alias("event"),
+        spelled.alias("elsewhere"),
+        F.col("o_orderstatus").alias("remark"),
     )
     copies = F.when(each_key(200), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return base.select("*", F.explode(copies).alias("copy")).drop("k", "copy")

@@ -78,24 +78,24 @@ WITH raw_base AS (
               ELSE concat('Team ', 40 + o_custkey % 37) END AS away,
          CASE WHEN o_orderkey % 101 = 0 THEN 'abc' WHEN o_orderkey % 103 = 0 THEN '1.5'
               WHEN o_orderkey % 107 = 0 THEN '-1' WHEN o_orderkey % 109 = 0 THEN '1d'
-              WHEN o_orderkey % 2 = 0 THEN concat(o_orderkey % 5, '.0') ELSE concat(o_orderkey % 24, '') END AS home_goals,
-         CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE concat(' ', o_custkey % 6) END AS away_goals,
-         CASE WHEN o_orderkey % 127 = 0 THEN '   ' ELSE o_orderpriority END AS competition,
+              WHEN o_orderkey % 2 = 0 THEN concat(o_orderkey % 5, '.0') ELSE concat(o_orderkey % 24, '') END AS h_points,
+         CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE concat(' ', o_custkey % 6) END AS a_points,
+         CASE WHEN o_orderkey % 127 = 0 THEN '   ' ELSE o_orderpriority END AS event,
          CASE o_orderkey % 12 WHEN 0 THEN 'true' WHEN 1 THEN '1' WHEN 2 THEN ' YES ' WHEN 3 THEN 'y'
               WHEN 4 THEN 'Neutral' WHEN 5 THEN 'false' WHEN 6 THEN '0' WHEN 7 THEN 'No' WHEN 8 THEN 'n'
-              WHEN 9 THEN 'home' WHEN 10 THEN 'maybe' END AS neutral_site,
-         o_orderstatus AS extra_notes
+              WHEN 9 THEN 'home' WHEN 10 THEN 'maybe' END AS elsewhere,
+         o_orderstatus AS remark
   FROM orders
 ),
 raw_matches AS (
-  SELECT match_date, home, away, home_goals, away_goals, competition, neutral_site, extra_notes FROM raw_base
+  SELECT match_date, home, away, h_points, a_points, event, elsewhere, remark FROM raw_base
   UNION ALL
-  SELECT match_date, home, away, home_goals, away_goals, competition, neutral_site, extra_notes FROM raw_base WHERE k % 200 = 0
+  SELECT match_date, home, away, h_points, a_points, event, elsewhere, remark FROM raw_base WHERE k % 200 = 0
 ),
 as_read AS (
   SELECT TRY_CAST(trim(match_date) AS DATE) AS date, trim(home) AS home_team, trim(away) AS away_team,
-         trim(home_goals) AS home_score, trim(away_goals) AS away_score, trim(competition) AS tournament,
-         trim(neutral_site) AS neutral
+         trim(h_points) AS home_score, trim(a_points) AS away_score, trim(event) AS tournament,
+         trim(elsewhere) AS neutral
   FROM raw_matches
 ),
 typed AS (
@@ -271,21 +271,21 @@ def _audit() -> str:
         [
             _names(
                 "input_columns",
-                ["match_date", "home", "away", "home_goals", "away_goals", "competition", "neutral_site", "extra_notes"],
+                ["match_date", "home", "away", "h_points", "a_points", "event", "elsewhere", "remark"],
             ),
             _names("output_columns", _CONTRACT.split(", ")),
             _names("added_columns", ["city", "country"]),
-            _names("dropped_columns", ["extra_notes"]),
+            _names("dropped_columns", ["remark"]),
             _names(
                 "renamed_columns",
                 [
                     "match_date -> date",
                     "home -> home_team",
                     "away -> away_team",
-                    "home_goals -> home_score",
-                    "away_goals -> away_score",
-                    "competition -> tournament",
-                    "neutral_site -> neutral",
+                    "h_points -> home_score",
+                    "a_points -> away_score",
+                    "event -> tournament",
+                    "elsewhere -> neutral",
                 ],
             ),
             _line("source_file", [(1, "''")]),
@@ -301,7 +301,7 @@ FROM numbered WHERE n > 0 UNION ALL SELECT section, CAST(position AS INT), value
 
 
 _AS_READ = ["date", "home_team", "away_team", "home_score", "away_score", "tournament", "neutral"]
-_RAW_NAMES = ["match_date", "home", "away", "home_goals", "away_goals", "competition", "neutral_site", "extra_notes"]
+_RAW_NAMES = ["match_date", "home", "away", "h_points", "a_points", "event", "elsewhere", "remark"]
 
 
 def _column_profile(names: list[str], rows: str) -> str:
@@ -394,11 +394,11 @@ def oracle_sql() -> dict[str, str]:
     explorer = f"{ENRICHED} SELECT * FROM enriched WHERE {{}} ORDER BY date DESC, match_id LIMIT {{}}"
     found = {
         "csv_roundtrip": RAW
-        + " SELECT match_date, trim(home) AS home, trim(away) AS away, trim(home_goals) AS home_goals,"
-        " trim(away_goals) AS away_goals, trim(competition) AS competition, trim(neutral_site) AS neutral_site,"
-        " extra_notes FROM raw_matches",
+        + " SELECT match_date, trim(home) AS home, trim(away) AS away, trim(h_points) AS h_points,"
+        " trim(a_points) AS a_points, trim(event) AS event, trim(elsewhere) AS elsewhere,"
+        " remark FROM raw_matches",
         "csv_directory": RAW
-        + " SELECT trim(competition) AS competition, COUNT(*) AS row_count FROM raw_matches GROUP BY 1",
+        + " SELECT trim(event) AS event, COUNT(*) AS row_count FROM raw_matches GROUP BY 1",
         "export_slice": ENRICHED
         + " SELECT date, home_team, away_team, CAST(home_score AS VARCHAR) AS home_score,"
         " CAST(away_score AS VARCHAR) AS away_score, tournament, city, country,"
@@ -416,10 +416,10 @@ def oracle_sql() -> dict[str, str]:
         "standardize_matches": f"{RAW} SELECT {_CONTRACT} FROM standard",
         "transform_audit": _audit(),
         "score_coercion": RAW
-        + " SELECT home_goals AS raw_score, CASE WHEN regexp_full_match(home_goals, '-?[0-9]+([.]0)?')"
-        " THEN CAST(CAST(home_goals AS DOUBLE) AS BIGINT) END AS score, COUNT(*) AS row_count FROM raw_matches GROUP BY 1, 2",
+        + " SELECT h_points AS raw_score, CASE WHEN regexp_full_match(h_points, '-?[0-9]+([.]0)?')"
+        " THEN CAST(CAST(h_points AS DOUBLE) AS BIGINT) END AS score, COUNT(*) AS row_count FROM raw_matches GROUP BY 1, 2",
         "neutral_normalization": RAW
-        + " SELECT neutral_site AS raw_neutral, CASE lower(trim(neutral_site)) WHEN 'true' THEN TRUE WHEN '1' THEN TRUE"
+        + " SELECT elsewhere AS raw_neutral, CASE lower(trim(elsewhere)) WHEN 'true' THEN TRUE WHEN '1' THEN TRUE"
         " WHEN 'yes' THEN TRUE WHEN 'y' THEN TRUE WHEN 'neutral' THEN TRUE WHEN 'false' THEN FALSE WHEN '0' THEN FALSE"
         " WHEN 'no' THEN FALSE WHEN 'n' THEN FALSE WHEN 'home' THEN FALSE END AS neutral, COUNT(*) AS row_count"
         " FROM raw_matches GROUP BY 1, 2",

@@ -66,8 +66,8 @@ def _audit(raw: DataFrame) -> DataFrame:
 
 
 def _score_coercion(raw: DataFrame) -> DataFrame:
-    text = F.col("home_goals")
-    kind = raw.schema["home_goals"].dataType
+    text = F.col("h_points")
+    kind = raw.schema["h_points"].dataType
     return (
         raw.groupBy(text.alias("raw_score"), parsing.parse_score(text, kind).alias("score"))
         .agg(F.count(F.lit(1)).alias("row_count"))
@@ -75,7 +75,7 @@ def _score_coercion(raw: DataFrame) -> DataFrame:
 
 
 def _neutral_normalization(raw: DataFrame) -> DataFrame:
-    text = F.col("neutral_site")
+    text = F.col("elsewhere")
     return raw.groupBy(text.alias("raw_neutral"), parsing.normalize_neutral(text).alias("neutral")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
@@ -99,7 +99,7 @@ def _csv_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "drop")
     outputs.write_output(fixtures.raw_matches(spark, sf_dir), path, fmt="csv")
     rows = csv.read_matches_dir(spark, path)
-    return rows.groupBy("competition").agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.groupBy("event").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def _export_slice(spark: SparkSession, sf_dir: str) -> DataFrame:

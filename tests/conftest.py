@@ -9,8 +9,8 @@ from touchline.session import local_session  # noqa: E402
 
 ROWS = "date string, home_team string, away_team string, home_score bigint, away_score bigint, tournament string, city string, country string, neutral boolean"
 VALID = [
-    ("2024-01-01", "Alpha United", "Gamma Rovers", 1, 0, "Test Cup", "North City", "Exampland", False),
-    ("2024-01-02", "Beta City", "Delta Stars", 2, 2, "Test Cup", "South City", "Exampland", True),
+    ("2024-02-10", "Harbour Lions", "Mill Town", 4, 1, "Coast Shield", "Westport", "Lowland", False),
+    ("2024-02-17", "Rhone Valley", "Old Quarry", 3, 3, "Coast Shield", "Easton", "Lowland", True),
 ]
 
 

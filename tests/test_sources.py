@@ -11,8 +11,8 @@ from touchline.sources import csv, files, outputs, table
 
 HEADER = "Date ,home_team,AWAY_team,home_score,away_score,tournament,city,country,neutral\n"
 LINES = (
-    "2024-01-01,Alpha United,Gamma Rovers,1,0,Test Cup,North City,Exampland,false\n"
-    "2024-01-02,Beta City,Delta Stars,2,2,Test Cup,South City,Exampland,true\n"
+    "2024-02-10,Harbour Lions,Mill Town,4,1,Coast Shield,Westport,Lowland,false\n"
+    "2024-02-17,Rhone Valley,Old Quarry,3,3,Coast Shield,Easton,Lowland,true\n"
 )
 SAME = {c: c for c in C.CONTRACT}
 
@@ -46,7 +46,7 @@ def test_read_and_validate(spark, file):
 
 
 def test_long_lines_fail_and_short_ones_are_filled(spark, file, tmp_path):
-    path = file(HEADER + LINES + "2024-01-03,A,B,1\n")
+    path = file(HEADER + LINES + "2024-03-03,A,B,1\n")
     assert [r["tournament"] for r in csv.read_matches_csv(spark, path).orderBy("date").collect()][2] is None
     long = file(HEADER + LINES + '2024-01-03,A,"B, ""C""",1,0,Cup,Final,X,Y,true\n', "long.csv")
     for read in (lambda d: d.count(), lambda d: d.select("home_team").collect(), lambda d: d.collect()):
@@ -109,14 +109,14 @@ def test_byte_order_mark_and_accents_in_header(spark, file):
 
 
 def test_text_that_is_not_utf8_is_an_error(spark, file):
-    path = file(HEADER + LINES.replace("Beta", "Béta"), encoding="latin-1")
+    path = file(HEADER + LINES.replace("Rhone", "Rhône"), encoding="latin-1")
     with pytest.raises(ValueError, match="UTF-8"), csv.scan_errors():
         csv.read_matches_csv(spark, path).collect()
 
 
 def test_replacement_character_is_legal_text(spark, file):
-    path = file(HEADER + LINES.replace("Beta", "B�ta"))
-    assert "B�ta City" in {r["home_team"] for r in csv.read_matches_csv(spark, path).collect()}
+    path = file(HEADER + LINES.replace("Rhone", "Rh�ne"))
+    assert "Rh�ne Valley" in {r["home_team"] for r in csv.read_matches_csv(spark, path).collect()}
 
 
 def test_header_that_is_not_utf8_is_an_error(spark, file):
@@ -125,7 +125,7 @@ def test_header_that_is_not_utf8_is_an_error(spark, file):
 
 
 def test_line_break_inside_quotes_needs_multi_line(spark, file):
-    path = file(HEADER + LINES.replace("North City", '"North\nCity"'))
+    path = file(HEADER + LINES.replace("Westport", '"West\nport"'))
     assert csv.read_matches_csv(spark, path, multi_line=True).count() == 2
 
 
@@ -194,7 +194,7 @@ def test_export_slice(spark, valid, tmp_path):
     outputs.export_slice(enrich_matches(valid), path)
     text = spark.read.option("header", True).csv(path)
     assert text.columns == list(C.CONTRACT)
-    assert {r["date"] for r in text.collect()} == {"2024-01-01", "2024-01-02"}
+    assert {r["date"] for r in text.collect()} == {"2024-02-10", "2024-02-17"}
 
 
 def test_csv_output_keeps_blanks(spark, valid, tmp_path):
@@ -226,7 +226,7 @@ def test_standardize_job_refuses_then_replaces(spark, file, tmp_path):
 
 
 def test_standardize_job_writes_nothing_on_errors(spark, file, tmp_path):
-    bad = file(HEADER + LINES.replace(",1,0,", ",1.5,0,"))
+    bad = file(HEADER + LINES.replace(",4,1,", ",1.5,1,"))
     audit = jobs.standardize_job(spark, bad, SAME, str(tmp_path / "out"))
     row = audit.first()
     assert not row["is_successful"] and row["output_file"] is None
@@ -239,7 +239,7 @@ def test_standardize_job_writes_nothing_on_errors(spark, file, tmp_path):
 def test_standardize_job_keeps_the_old_output_on_errors(spark, file, tmp_path):
     out = str(tmp_path / "out")
     jobs.standardize_job(spark, file(HEADER + LINES), SAME, out)
-    bad = file(HEADER + LINES.replace("Delta Stars", "Beta City"), "bad.csv")
+    bad = file(HEADER + LINES.replace("Old Quarry", "Rhone Valley"), "bad.csv")
     assert not jobs.standardize_job(spark, bad, SAME, out, overwrite=True).first()["is_successful"]
     assert spark.read.parquet(out).count() == 2
 
@@ -256,17 +256,17 @@ def test_standardize_job_with_a_broken_mapping(spark, file, tmp_path):
 
 
 def test_standardize_job_rejects_other_encodings(spark, file, tmp_path):
-    path = file(HEADER + LINES.replace("Beta", "Béta"), encoding="latin-1")
+    path = file(HEADER + LINES.replace("Rhone", "Rhône"), encoding="latin-1")
     with pytest.raises(ValueError, match="UTF-8"):
         jobs.standardize_job(spark, path, SAME, str(tmp_path / "out"))
     assert [p.name for p in tmp_path.iterdir()] == ["matches.csv"]
 
 
 def test_profile_job(spark, file, tmp_path):
-    text = HEADER + LINES.replace(",1,0,", ",-1,0,")
+    text = HEADER + LINES.replace(",4,1,", ",-1,1,")
     table_level, columns = jobs.profile_job(spark, file(text), str(tmp_path / "profile"), date(2025, 1, 1))
     row = table_level.first()
-    assert row["source_file"] == "matches.csv" and row["row_count"] == 2 and row["date_max"] == "2024-01-02"
+    assert row["source_file"] == "matches.csv" and row["row_count"] == 2 and row["date_max"] == "2024-02-17"
     assert row["validation_errors"] == ["Column 'home_score' must contain non-negative integer scores."]
     assert row["validation_warnings"] == []
     assert spark.read.parquet(str(tmp_path / "profile" / "column_profile")).count() == columns.count() == 9
@@ -283,7 +283,7 @@ def test_prepare_for_load(valid):
 
 
 def test_prepare_rejects_errors_with_all_messages(make):
-    bad = make([changed(VALID[0], home_score=-1, away_team="Alpha United")])
+    bad = make([changed(VALID[0], home_score=-1, away_team="Harbour Lions")])
     with pytest.raises(ValueError, match="non-negative integer scores.; home_team must not be equal"):
         table.prepare_for_load(bad, "x.csv")
 
@@ -328,7 +328,7 @@ def test_replace_touches_only_the_same_source(spark, valid, new_table):
 
 @pytest.mark.parametrize(
     "defect",
-    [{"home_score": -1}, {"home_score": None}, {"date": None}, {"away_team": " Alpha United"}, {"tournament": None}],
+    [{"home_score": -1}, {"home_score": None}, {"date": None}, {"away_team": " Harbour Lions"}, {"tournament": None}],
 )
 def test_broken_rows_load_nothing_and_keep_the_old(spark, make, new_table, defect):
     table.load_matches(spark, make(), new_table, "a.csv")

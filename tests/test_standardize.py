@@ -11,27 +11,20 @@ from touchline.operators.mapping import check_mapping, clean_mapping
 from touchline.operators.standardize import audit_lines, standardize_matches
 from pyspark.sql import types as T
 
-MAPPING = {
-    "date": "match_date",
-    "home_team": "home",
-    "away_team": "away",
-    "home_score": "home_goals",
-    "away_score": "away_goals",
-    "tournament": "competition",
-    "neutral": "neutral_site",
-}
-SCHEMA = "match_date string, home string, away string, home_goals string, away_goals string, competition string, extra_notes string, neutral_site string"
+MAPPING = {"date": "day", "tournament": "event", "home_team": "hosts", "away_team": "guests"}
+MAPPING |= {"home_score": "for_hosts", "away_score": "for_guests", "neutral": "elsewhere"}
+COLUMNS = ["day", "event", "hosts", "for_hosts", "guests", "for_guests", "elsewhere", "referee"]
+SCHEMA = ", ".join(f"{c} string" for c in COLUMNS)
 SOURCE = [
-    ("2024-01-01", " Alpha FC ", "Gamma FC", "1", "0", "Cup", "a", " yes "),
-    ("2024-01-02", "Beta FC", "Delta FC", "2", "2", "Cup", "b", "home"),
+    ("2023-08-05", "League", "Harbour Lions ", "4", " Mill Town", "1", "Y ", "Ann"),
+    ("2023-08-06", "League", "Old Quarry", "0", "Rhone Valley", "0", "No", "Bo"),
 ]
 
 
 @pytest.fixture
 def source(spark):
     def build(**values):
-        names = [part.split()[0] for part in SCHEMA.split(", ")]
-        rows = [tuple(values.get(n, v) for n, v in zip(names, SOURCE[0])), SOURCE[1]]
+        rows = [tuple(values.get(n, v) for n, v in zip(COLUMNS, SOURCE[0])), SOURCE[1]]
         return spark.createDataFrame(rows, SCHEMA)
 
     return build
@@ -47,11 +40,11 @@ def test_renames_trims_types_and_order(source):
     assert data.columns == list(C.CONTRACT)
     assert [f.dataType for f in data.schema.fields] == [f.dataType for f in C.INTERIM_SCHEMA.fields]
     first = data.orderBy("date").first()
-    assert first["home_team"] == "Alpha FC" and first["date"] == date(2024, 1, 1)
-    assert first["home_score"] == 1 and first["neutral"] is True and first["city"] is None
+    assert first["home_team"] == "Harbour Lions" and first["date"] == date(2023, 8, 5)
+    assert first["home_score"] == 4 and first["neutral"] is True and first["city"] is None
     assert audit["is_successful"] and audit["errors"] == []
-    assert audit["added_columns"] == ["city", "country"] and audit["dropped_columns"] == ["extra_notes"]
-    assert audit["renamed_columns"]["home"] == "home_team"
+    assert audit["added_columns"] == ["city", "country"] and audit["dropped_columns"] == ["referee"]
+    assert audit["renamed_columns"]["hosts"] == "home_team"
     assert audit["input_rows"] == audit["output_rows"] == 2
     assert audit["type_conversions"] == [
         "Converted 'date' to datetime.",
@@ -62,7 +55,7 @@ def test_renames_trims_types_and_order(source):
 
 
 def test_fractional_score_is_refused(source):
-    data, audit = run(source(home_goals="1.5"))
+    data, audit = run(source(for_hosts="1.5"))
     assert audit["errors"][0] == "Column 'home_score' cannot be safely converted to integer scores."
     assert "Column 'home_score' must contain non-negative integer scores." in audit["errors"]
     assert "Converted 'home_score' to nullable integer." not in audit["type_conversions"]
@@ -70,27 +63,27 @@ def test_fractional_score_is_refused(source):
 
 
 def test_bad_score_text_is_no_missing_value(source):
-    _, audit = run(source(home_goals="abc"))
+    _, audit = run(source(for_hosts="abc"))
     assert not any("missing values" in e for e in audit["errors"])
 
 
 def test_high_fractional_score_still_warns(source):
-    _, audit = run(source(home_goals="25.5"))
+    _, audit = run(source(for_hosts="25.5"))
     assert any("suspiciously large" in w for w in audit["warnings"])
 
 
 def test_negative_score_is_refused(source):
-    _, audit = run(source(away_goals="-1"))
+    _, audit = run(source(for_guests="-1"))
     assert not audit["is_successful"] and any("non-negative integer scores" in e for e in audit["errors"])
 
 
 def test_same_team_after_trim_is_refused(source):
-    _, audit = run(source(away=" Alpha FC"))
+    _, audit = run(source(guests=" Harbour Lions"))
     assert "home_team must not be equal to away_team." in audit["errors"]
 
 
 def test_unknown_neutral_warns_with_the_count_only(source):
-    data, audit = run(source(neutral_site="maybe"))
+    data, audit = run(source(elsewhere="maybe"))
     assert audit["warnings"] == [
         "Column 'neutral' contains unknown values. 1 value(s) were converted to missing."
     ]
@@ -103,18 +96,18 @@ def test_duplicates_warn(spark):
 
 
 def test_typed_input_passes(source):
-    df = source().withColumn("home_goals", F.lit(3)).withColumn("match_date", F.lit(date(2024, 5, 1)))
+    df = source().withColumn("for_hosts", F.lit(3)).withColumn("day", F.lit(date(2024, 5, 1)))
     data, audit = run(df)
     assert audit["is_successful"] and {r["home_score"] for r in data.collect()} == {3}
 
 
 def test_mapping_problems_are_all_reported(source):
-    broken = {"date": "match_date", "home_team": "home", "away_team": "home", "colour": "nowhere"}
+    broken = {"date": "day", "home_team": "hosts", "away_team": "hosts", "colour": "nowhere"}
     errors = check_mapping(source().columns, broken)
     assert errors == [
         "Mapping contains unknown target fields: colour.",
         "Mapping is missing required target fields: home_score, away_score, tournament.",
-        "Mapping reuses the same source column for multiple target fields: home.",
+        "Mapping reuses the same source column for multiple target fields: hosts.",
         "Source column 'nowhere' for target 'colour' was not found.",
     ]
     data, audit = run(source(), broken)
@@ -127,10 +120,10 @@ def test_clean_mapping():
 
 
 def test_audit_lines_hold_no_row_values(source):
-    lines = as_dicts(audit_lines(standardize_matches(source(home="Top Secret Club"), MAPPING)[1]))
+    lines = as_dicts(audit_lines(standardize_matches(source(hosts="Top Secret Club"), MAPPING)[1]))
     assert not any("Top Secret" in (line["value"] or "") for line in lines)
     assert {"section": "added_columns", "position": 2, "value": "country"} in lines
-    assert {"section": "renamed_columns", "position": 1, "value": "match_date -> date"} in lines
+    assert {"section": "renamed_columns", "position": 1, "value": "day -> date"} in lines
 
 
 def test_neutral_tokens(spark):
