@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -101,24 +101,29 @@ _KNOWN_CUTS: dict[tuple[int, int], tuple[list, list]] = {}
 
 
 def _keys(line: str, edits: int) -> tuple[list[int], list[int]]:
-    """Keys under which a line stands, and keys that it asks for (lengths up to its own)."""
+    """Keys of 48 bits under which a line stands, and keys that it asks for (lengths up to its own). Keys that agree by chance
+    only cost a comparison."""
     if (len(line), edits) not in _KNOWN_CUTS:
         if len(_KNOWN_CUTS) > 4096:
             _KNOWN_CUTS.clear()
         _KNOWN_CUTS[len(line), edits] = _cuts(len(line), edits)
     own, asked = _KNOWN_CUTS[len(line), edits]
-    stands = [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for seed, a, b in own]
-    return stands, [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) - (1 << 63) for seed, a, b in asked]
+    stands = [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) >> 16 for seed, a, b in own]
+    return stands, [xxh3_64_intdigest(line[a:b].encode("utf-8", "surrogatepass"), seed) >> 16 for seed, a, b in asked]
+
+
+def line_key(line: Column) -> Column:
+    return F.unhex(F.md5(line.cast("binary")))
 
 
 def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> tuple[DataFrame, DataFrame]:
-    """(lines, distinct): lines has (doc_id, line_no, line_key) for each line that is long enough; distinct has each different line
-    once, with its key (a 128-bit digest), text, first place and number of places. Lines are cut at line feeds and trimmed of blanks."""
+    """(lines, distinct): lines has (doc_id, line_no, line_key) for each line that is long enough, the key being a 128-bit digest;
+    distinct has each different line once, with first place and number of places. Lines are cut at line feeds and trimmed of blanks."""
     rows = two_columns(docs, id_col, text_col)
     each = rows.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("line", F.trim("line"))
-    each = each.filter(F.length("line") >= least_chars).withColumn("line_key", F.unhex(F.md5(F.col("line").cast("binary"))))
-    distinct = each.groupBy("line_key", "line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("places"))
-    return each.select("doc_id", "line_no", "line_key"), distinct
+    each = each.filter(F.length("line") >= least_chars)
+    distinct = each.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("places"))
+    return each.select("doc_id", "line_no", line_key(F.col("line")).alias("line_key")), distinct
 
 
 _PLACES = np.uint64(4) * np.arange(16, dtype=np.uint64)
@@ -162,12 +167,14 @@ def _meetings(ids: np.ndarray, counters: np.ndarray, asks: np.ndarray, edits: in
 def line_links(distinct: DataFrame, edits: int = EDITS, most_under_key: int = 4096) -> DataFrame:
     """Pairs (a, b), a < b, of line ids for all different lines within so many edits. distinct has line_id and line.
 
-    Meetings carry ids and letter counts; the few different pairs that these allow fetch their lines and are measured. A key
-    under which more than most_under_key lines meet is passed on and dealt as pairs of blocks over all tasks.
+    Meetings carry the id (the lowest bit of `who` says whether the line asks or stands there), letter counts and the key, whose
+    empty bytes come last so that they are squeezed out of the shuffle. The few different pairs that these allow fetch their
+    lines and are measured. A key under which more than most_under_key lines meet is passed on and dealt as pairs of blocks
+    over all tasks.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("asks", pa.bool_()), ("line_id", pa.int64()), ("counters", pa.int64())])
+        schema = pa.schema([("who", pa.int64()), ("counters", pa.int64()), ("key", pa.int64())])
         for batch in batches:
             keys, asks, repeat, counters = [], [], [], []
             for line in batch.column("line").to_pylist():
@@ -176,15 +183,15 @@ def line_links(distinct: DataFrame, edits: int = EDITS, most_under_key: int = 40
                 asks += [False] * len(own) + [True] * len(asked)
                 repeat.append(len(own) + len(asked))
                 counters.append(_letter_counts(line))
-            ids = np.repeat(batch.column("line_id").to_numpy(zero_copy_only=False), repeat)
-            yield arrow_rows(schema, [keys, asks, ids, np.repeat(np.array(counters, np.int64), repeat)])
+            who = np.repeat(batch.column("line_id").to_numpy(zero_copy_only=False), repeat) << 1 | np.array(asks, bool)
+            yield arrow_rows(schema, [who, np.repeat(np.array(counters, np.int64), repeat), keys])
 
     met_schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("asks", pa.bool_()), ("counters", pa.int64())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(table):
-            key, asks, ids, counters = (table.column(c).to_numpy(zero_copy_only=False) for c in ("key", "asks", "line_id", "counters"))
-            counters = counters.view(np.uint64)
+            key, who, counters = (table.column(c).to_numpy(zero_copy_only=False) for c in ("key", "who", "counters"))
+            ids, asks, counters = who >> 1, (who & 1).astype(bool), counters.view(np.uint64)
             edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
             found, passed = [np.empty((0, 2), np.int64)], []
             for s, e in zip(edge[:-1][np.diff(edge) > 1].tolist(), edge[1:][np.diff(edge) > 1].tolist()):
@@ -209,7 +216,7 @@ def line_links(distinct: DataFrame, edits: int = EDITS, most_under_key: int = 40
         if held is not None and held.num_rows:
             yield from rows(held)
 
-    keyed = in_tasks(distinct.select("line_id", "line"), emit, "key bigint, asks boolean, line_id bigint, counters bigint")
+    keyed = in_tasks(distinct.select("line_id", "line"), emit, "who bigint, counters bigint, key bigint")
     together = keyed.repartition("key").sortWithinPartitions("key")
     met = stored(in_tasks(together, meet, "a bigint, b bigint, key bigint, asks boolean, counters bigint"), "line-meetings")
     crowded = met.filter("key is not null").select("key", F.col("a").alias("line_id"), "asks", "counters")
@@ -245,7 +252,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     distinct = distinct_lines(docs, id_col, text_col, least_chars)[1].withColumn("line_id", F.monotonically_increasing_id())
     distinct = stored(distinct, "lines", compression="zstd")
     groups = connected_components(line_links(distinct, edits), "line-groups")
-    classed = distinct.drop("line").join(bounded(groups.withColumnRenamed("node", "line_id")), "line_id", "left")
+    classed = distinct.withColumn("line_key", line_key(F.col("line"))).drop("line").join(bounded(groups.withColumnRenamed("node", "line_id")), "line_id", "left")
     classed = classed.withColumn("class_id", F.coalesce("component", "line_id"))
     kept = classed.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
     joined = classed.join(bounded(kept), "component", "left")
@@ -266,7 +273,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = two_columns(docs, id_col, text_col)
     each = rows.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     each = each.withColumn("line", F.trim("line")).filter(F.length("line") >= least_chars)
-    each = each.select("doc_id", "text_key", "line_no", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line_key"))
+    each = each.select("doc_id", "text_key", "line_no", line_key(F.col("line")).alias("line_key"))
     place = F.struct("doc_id", "line_no")
     found = each.join(bounded(repeated), "line_key").filter(~place.eqNullSafe(F.col("keep")))
     dropped = found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
