@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from touchline.llm.common import arrow_rows, bounded, in_tasks, stored, two_columns
 from touchline.llm.tokens import lead_spaces, worker_tokenizer
 
-SALT = 64
+# Pieces of one length are ranked in groups of about so many rows, however many there are.
+GROUP_ROWS = 50_000
 # Added before a repeat count is cut to a whole number; the plan with the fewest windows is kept.
 ROUNDINGS = (0.5, 0.25, 0.0, -0.5, -2.0)
 PIECES = "doc_id bigint, copy_key bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -157,14 +158,16 @@ def pack_documents(
 
     A null text counts as empty and gives the end id alone. Null ids and repeated rows are packed like any others. Other columns
     are ignored. An empty table gives no row. Ranks among pieces of one length come from counts per (length, hash of the
-    id) and a window inside these groups, so a length that a third of all rows share is dealt over many tasks.
+    id) and a window inside these groups. A length has as many groups as its count asks for, so one that a third of all rows share
+    is dealt over many tasks of a fixed size.
     """
     pieces = stored(cut_documents(docs, window, tokenizer_path, end_id, id_col, text_col), "pieces")
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "copy_key", "start"), F.lit(SALT)))
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    groups_of = F.from_json(F.lit(str([-(-counts.get(n, 1) // GROUP_ROWS) for n in range(window + 1)])), "array<bigint>")
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "copy_key", "start"), F.get(groups_of, F.col("length").cast("int"))))
     groups = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     groups = stored(groups.withColumn("before", F.coalesce(before, F.lit(0))), "piece-groups")
-    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = pack_histogram(counts, window, combinations)
     fill = {}
     slots = slots_of(plan)
