@@ -215,6 +215,28 @@ def test_line_dedup(docs, empty, spark):
         assert {tuple(r) for r in line_dedup.line_links(near, most_under_key=most).collect()} == want
 
 
+def test_line_dedup_short_lines(spark, tmp_path):
+    from touchline.llm import queries
+
+    texts = {1: "Menu\nfirst text here\n\n\t\n  Menu", 2: "menu\nMenu\n\n\t", 3: "Menu\nfirst text here.\na line that is long enough to count", 4: "a line that is long enough to count!\n", 5: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    want, seen = {}, set()
+    for doc_id, text in texts.items():
+        left = []
+        for line in (text or "").split("\n"):
+            bare = line.strip(" ")
+            near = next((s for s in seen if min(len(s), len(bare)) >= 20 and line_dedup.edit_distance_within(s, bare, 2) <= 2), None)
+            if not bare.strip() or bare not in seen and near is None:
+                left.append(line)
+            seen.add(bare)
+        want[doc_id] = None if text is None else "\n".join(left)
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, exact_chars=line_dedup.EVERY_LINE).collect()}
+    assert {i: r["text"] for i, r in found.items()} == want
+    assert [found[i]["n_dropped"] for i in texts] == [1, 1, 1, 1, 0]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["n_dropped"] for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 0}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (100, 101), (7, 7), (None, 3), (200, 100)]
     found = dict(map(tuple, connected_components(spark.createDataFrame(chain, "a bigint, b bigint").repartition(5)).collect()))

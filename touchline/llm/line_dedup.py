@@ -3,7 +3,8 @@
 Two lines within t edits, split into t + 1 segments, share one segment unchanged (the other line is cut at up to t places off). So
 every distinct line is indexed under its segments, by length, segment number and content, and probes, for each length that it may
 meet, the substrings of its own that can be the segment. Lines that meet under a key are compared with a banded bit-parallel edit
-distance. Equal lines are one line throughout, so a line that a third of all documents repeat is one row.
+distance. Equal lines are one line throughout, so a line that a third of all documents repeat is one row. Lines too short for
+an edit join can still be grouped exactly.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from touchline.llm.components import connected_components
 
 EDITS = 2
 LEAST_CHARS = 20
+EVERY_LINE = 1
 
 
 def edit_distance_within(a: str, b: str, limit: int) -> int:
@@ -116,12 +118,18 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> tuple[DataFrame, DataFrame]:
+def _counts(line: Column, least_chars: int, exact_chars: int | None) -> Column:
+    """Whether a line takes part: it is long enough to be linked, or long enough to be grouped exactly and not only white space."""
+    long = F.length(line) >= least_chars
+    return long if exact_chars is None else long | ((F.length(line) >= exact_chars) & line.rlike(r"\S"))
+
+
+def distinct_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int, exact_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, distinct): lines has (doc_id, line_no, line_key) for each line that is long enough, the key being a 128-bit digest;
     distinct has each different line once, with first place and number of places. Lines are cut at line feeds and trimmed of blanks."""
     rows = two_columns(docs, id_col, text_col)
     each = rows.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("line", F.trim("line"))
-    each = each.filter(F.length("line") >= least_chars)
+    each = each.filter(_counts(F.col("line"), least_chars, exact_chars))
     distinct = each.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("places"))
     return each.select("doc_id", "line_no", line_key(F.col("line")).alias("line_key")), distinct
 
@@ -246,12 +254,15 @@ def line_links(distinct: DataFrame, edits: int = EDITS, most_under_key: int = 40
     return in_tasks(both.select("a", "b", "line_a", "line_b"), verify, "a bigint, b bigint")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """Each different line of at least least_chars once: line_key (its MD5), line_id, class_id (smallest line_id reachable by links of
-    at most `edits` edits), first (doc_id, line_no of its first place), keep (that of the class) and places (how often it stands)."""
-    distinct = distinct_lines(docs, id_col, text_col, least_chars)[1].withColumn("line_id", F.monotonically_increasing_id())
+def line_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
+    """Each different line of at least least_chars (or exact_chars) once: line_key (its MD5), line_id, class_id (smallest line_id reachable
+    by links of at most `edits` edits, which only lines of least_chars have), first (doc_id, line_no of its first place), keep (that of
+    the class) and places (how often it stands)."""
+    distinct = distinct_lines(docs, id_col, text_col, least_chars, exact_chars)[1].withColumn("line_id", F.monotonically_increasing_id())
     distinct = stored(distinct, "lines", compression="zstd")
-    groups = connected_components(line_links(distinct, edits), "line-groups")
+    groups = connected_components(line_links(distinct.filter(F.length("line") >= least_chars), edits), "line-groups")
     classed = distinct.withColumn("line_key", line_key(F.col("line"))).drop("line").join(bounded(groups.withColumnRenamed("node", "line_id")), "line_id", "left")
     classed = classed.withColumn("class_id", F.coalesce("component", "line_id"))
     kept = classed.filter("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
@@ -259,20 +270,23 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return joined.select("line_key", "line_id", "class_id", "first", F.coalesce("class_first", "first").alias("keep"), "places")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, text (without the dropped lines) and dropped (their numbers, rising).
 
     Of all lines that equal each other or are linked by at most `edits` edits, once blanks at their ends are cut, only the first by
-    (doc_id, line_no) stays; null ids come first. Shorter lines always stay. A null text has no lines and stays null, an
-    empty text has one empty line. Rows that repeat an id and a text are one document, given once per row; repeated ids with different texts
+    (doc_id, line_no) stays; null ids come first. Of shorter lines, those of exact_chars or more that equal each other are one line
+    likewise (EVERY_LINE for all), and without exact_chars they always stay; blank ones always stay. A null text has no lines and stays
+    null, an empty text has one empty line. Rows that repeat an id and a text are one document, given once per row; repeated ids with different texts
     count as separate documents, and a line that both have at the same place stays in both. Other columns are ignored.
     """
-    classes = line_classes(docs, id_col, text_col, edits, least_chars)
+    classes = line_classes(docs, id_col, text_col, edits, least_chars, exact_chars)
     # Only lines that stand twice or have a partner can be dropped; the rest needs no second look.
     repeated = stored(classes.filter("places > 1 or keep <> first").select("line_key", "keep"), "repeated-lines")
     rows = two_columns(docs, id_col, text_col)
     each = rows.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    each = each.withColumn("line", F.trim("line")).filter(F.length("line") >= least_chars)
+    each = each.withColumn("line", F.trim("line")).filter(_counts(F.col("line"), least_chars, exact_chars))
     each = each.select("doc_id", "text_key", "line_no", line_key(F.col("line")).alias("line_key"))
     place = F.struct("doc_id", "line_no")
     found = each.join(bounded(repeated), "line_key").filter(~place.eqNullSafe(F.col("keep")))

@@ -59,7 +59,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), exact_chars=line_dedup.EVERY_LINE)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
