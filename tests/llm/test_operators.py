@@ -1,6 +1,7 @@
 """Every operator on a table of awkward rows and on an empty one, against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -138,6 +139,42 @@ def test_licenses(docs, empty):
     assert sum(map(len, found.values())) == len(TEXTS) and license_scan.scan_licenses(empty).count() == 0
 
 
+def test_licenses_over_line_breaks(spark):
+    given = [(label, text, lead, at) for label, text in license_scan.TEMPLATES for lead in ("", " * ", "# ") for at in range(1, len(text.split(" ")))]
+    wrapped = []
+    for _, text, lead, at in given:
+        w = text.split(" ")
+        wrapped.append(f"before it\n{lead}{' '.join(w[:at])}\n{lead}{' '.join(w[at:])}\nafter it")
+    mit, gpl, bsd = (license_scan.TEMPLATES[i][1] for i in (1, 4, 9))
+    usual = [mit.replace("obtaining a copy ", "obtaining a copy\n"), gpl.replace("modify ", "modify\n"), bsd.replace("without ", "without\n")]
+    usual.append(mit.replace(" ", "\n"))
+    apart = mit.replace("copy", "copy\n" + "word " * 40)  # its words are there, but not in one run
+    rows = list(enumerate([*wrapped, *usual, apart, "x\n" + mit]))
+    found = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, (label, *_) in enumerate(given):
+        assert label in found[i]["labels"].split(",") and found[i]["score"] == 1.0, rows[i]
+    n = len(given)
+    # the GPL sentence has 19 of the 21 words of the LGPL one, on one line as well
+    assert [found[n + i]["labels"] for i in range(4)] == ["mit", "gpl,lgpl", "bsd", "mit"] and {found[n + i]["score"] for i in range(4)} == {1.0}
+    assert (found[n + 4]["labels"], found[n + 4]["score"], found[n + 4]["blocks"]) == ("", 0.0, [])
+    assert [(b["line"], b["label"]) for b in found[n + 5]["blocks"]] == [(1, "mit")]
+
+
+def test_runs_of_words():
+    r = random.Random(5)
+    index = license_scan.TemplateIndex([("a", "w1 w2 w3 w4 w5 w1 w6 w7 w8 w9 w10")], {}, 0.8)
+    _, order, whole, need = index.templates[0]
+    hits = 0
+    for _ in range(300):
+        lines = [[f"w{r.randint(1, 12)}".encode() for _ in range(r.randint(0, 9))] for _ in range(6)]
+        words = [w for line in lines for w in line]
+        full = max((len(whole & set(b)) for b in [*lines, *(words[i : i + 14] for i in range(len(words)))]), default=0)  # 11 words / 0.8
+        got = index.blocks("\n".join(b" ".join(line).decode() for line in lines))
+        assert max((c for _, _, c in got), default=0) == (full / len(order) if full >= need else 0)
+        hits += bool(got)
+    assert 0 < hits < 300
+
+
 def test_toxicity(spark, docs, empty):
     clean = [(i, f"calm words here number{i} and more", 0) for i in range(200)]
     bad = [(i, f"you vilest{i % 7} rotten person number{i}", 1) for i in range(200, 260)]

@@ -1,6 +1,7 @@
 """License notices: exact phrases, and an exact set-similarity join of text blocks with notice templates.
 
-A block is a line. It meets a template if it holds at least THRESHOLD of the template's distinct words. The words of all templates are
+A block is a line, or a run of words, wherever its lines break, that is longer than the template by no more than the words which the
+threshold forgives. It meets a template if it holds at least THRESHOLD of the template's distinct words. The words of all templates are
 ordered by the number of lines of the whole corpus that hold them, rarest first. A block that meets a template must hold one of the
 template's first words in that order (prefix filter), must have enough distinct words of the vocabulary (length filter), and from the
 first shared word on both must have enough words left (positional filter); what passes is counted out.
@@ -9,8 +10,10 @@ first shared word on both must have enough words left (positional filter); what
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,7 +74,7 @@ class TemplateIndex:
     def __init__(self, templates, frequency: dict[bytes, int], threshold: float = THRESHOLD):
         every = {w for _, text in templates for w in words_of(text)}
         self.rank = {w: i for i, w in enumerate(sorted(every, key=lambda w: (frequency.get(w, 0), w)))}
-        self.templates, self.prefix = [], {}
+        self.templates, self.prefix, self.spans = [], {}, []
         for label, text in templates:
             order = sorted(set(words_of(text)), key=self.rank.__getitem__)
             if not order:
@@ -80,9 +83,13 @@ class TemplateIndex:
             for i, word in enumerate(order[: len(order) - need + 1]):
                 self.prefix.setdefault(word, []).append((len(self.templates), i))
             self.templates.append((label, order, frozenset(order), need))
+            self.spans.append(math.ceil(len(words_of(text)) / threshold - 1e-9))
 
     def matches(self, words: set[bytes]) -> list[tuple[str, float]]:
         """Label and containment of every template that the block meets."""
+        return [(self.templates[t][0], c) for t, c in self._met(words)]
+
+    def _met(self, words: set[bytes]) -> list[tuple[int, float]]:
         entries = self.prefix.keys() & words
         if not entries:
             return []
@@ -90,19 +97,59 @@ class TemplateIndex:
         place, seen, out = {w: j for j, w in enumerate(block)}, set(), []
         for word in sorted(entries, key=self.rank.__getitem__):
             for template, i in self.prefix[word]:
-                label, order, whole, need = self.templates[template]
+                _, order, whole, need = self.templates[template]
                 if template in seen or len(block) < need:
                     continue
                 seen.add(template)  # words come in the global order, so this is the first shared one
                 if 1 + min(len(order) - i - 1, len(block) - place[word] - 1) < need:
                     continue
                 if (shared := len(whole & words)) >= need:
-                    out.append((label, shared / len(order)))
+                    out.append((template, shared / len(order)))
         return out
 
+    def _runs(self, words: list[bytes], template: int) -> list[tuple[int, int, float]]:
+        """First word, last word and containment of runs that meet the template; of runs that overlap the fullest, then the first, is given."""
+        _, order, whole, need = self.templates[template]
+        inside, first, met = Counter(), 0, []
+        places = [i for i, w in enumerate(words) if w in whole]
+        for place in places:
+            inside[words[place]] += 1
+            # what is out of reach goes, and so does a first word that stands again further on
+            while place - places[first] >= self.spans[template] or inside[words[places[first]]] > 1:
+                inside[words[places[first]]] -= 1
+                if not inside[words[places[first]]]:
+                    del inside[words[places[first]]]
+                first += 1
+            if len(inside) >= need:
+                met.append((places[first], place, len(inside) / len(order)))
+        taken: list[tuple[int, int, float]] = []
+        for run in sorted(met, key=lambda r: (-r[2], r)):
+            at = bisect_right(taken, run)
+            if (not at or taken[at - 1][1] < run[0]) and (at == len(taken) or run[1] < taken[at][0]):
+                taken.insert(at, run)
+        return taken
+
+    def blocks(self, text: str) -> list[tuple[int, str, float]]:
+        """Line number, label and containment of every line that meets a template, and of every run over a line break that meets it more
+        fully than each line it touches; its number is that of its first line."""
+        lines = [words_of(line) for line in text.split("\n")]
+        words = [w for line in lines for w in line]
+        there = set(words)
+        if self.prefix.keys().isdisjoint(there):
+            return []
+        by_line = [dict(self._met(set(line))) for line in lines]
+        out = [(n, t, c) for n, met in enumerate(by_line) for t, c in met.items()]
+        start = list(accumulate(map(len, lines), initial=0))
+        for t, _ in self._met(there) if len(lines) > 1 else ():
+            for a, b, c in self._runs(words, t):
+                i, j = bisect_right(start, a) - 1, bisect_right(start, b) - 1
+                if i < j and all(met.get(t, 0) < c for met in by_line[i : j + 1]):
+                    out.append((i, t, c))
+        return [(n, self.templates[t][0], c) for n, t, c in sorted(out, key=lambda b: b[0])]
+
 
 def word_frequency(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text") -> dict[bytes, int]:
-    """Number of lines of the whole table that hold each word of the (fixed) vocabulary."""
+    """Number of lines of the whole table that hold each word of the (fixed) vocabulary; it only settles the order of the words."""
 
     def count(batches):
         found: Counter = Counter()
@@ -120,7 +167,7 @@ def word_frequency(docs: DataFrame, vocabulary: set[bytes], text_col: str = "tex
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_words, n_base (places of phrases), first_word, last_word (smallest and largest start), base_labels,
     labels (with those of met templates), score (1 with a phrase, else the largest containment of a met template, else 0), and blocks
-    (line number, label and containment of each met template).
+    (number of the first line, label and containment of each met template).
 
     A null or empty text has no words: counts 0, places null, labels empty, score 0. Repeated rows each get a row, null ids too. Other
     columns are ignored; an empty table gives no row.
@@ -143,8 +190,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 places += found
                 base.add(label)
         if not index.prefix.keys().isdisjoint(there):
-            for number, line in enumerate(text.split("\n")):
-                blocks += [{"line": number, "label": label, "containment": c} for label, c in index.matches(set(words_of(line)))]
+            blocks = [{"line": number, "label": label, "containment": c} for number, label, c in index.blocks(text)]
         labels = base | {b["label"] for b in blocks}
         score = 1.0 if places else max((b["containment"] for b in blocks), default=0.0)
         ends = (min(places), max(places)) if places else (None, None)
