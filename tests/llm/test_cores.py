@@ -53,6 +53,36 @@ def test_quotient_filters_merge_without_loss(bits):
     assert (merged.fingerprints() == want).all() and (merged.count == counts).all()
 
 
+def _plain_fingerprint(hashes, numbered):
+    """Components from the two smallest numbered hashes of each of the 64 bins, in the order of the text."""
+    want = []
+    for b in range(64):
+        here = np.flatnonzero(numbered >> np.uint64(58) == b)
+        total = np.array([order_minhash._ODD], np.uint64)
+        for i in sorted(here[np.argsort(numbered[here], kind="stable")[:2]].tolist()):
+            total = order_minhash.mix64(total * np.uint64(31) + hashes[i : i + 1])
+        want.append(max(1, int(total[0] >> np.uint64(32))) if len(here) else 0)
+    return want
+
+
+def test_order_minhash_numbers_whole_hashes(monkeypatch):
+    r = np.random.default_rng(3)
+    # a text of more than 2**24 k-mers, all different
+    points = r.integers(0x4E00, 0x9000, (1 << 24) + 100).astype("<u4")
+    hashes = order_minhash._kmer_hashes(points, order_minhash.K)
+    with np.errstate(over="ignore"):
+        assert order_minhash.fingerprint(points.tobytes().decode("utf-32-le")).tolist() == _plain_fingerprint(hashes, order_minhash.mix64(hashes))
+        # hashes that differ in their last bits only
+        alike = (r.integers(0, 50, 400).astype(np.uint64) << np.uint64(40)) | r.integers(0, 5, 400).astype(np.uint64)
+        seen, nth = {}, []
+        for h in alike.tolist():
+            nth.append(seen.get(h, 0))
+            seen[h] = nth[-1] + 1
+        monkeypatch.setattr(order_minhash, "_kmer_hashes", lambda points, k: alike)
+        numbered = order_minhash.mix64(alike + np.array(nth, np.uint64) * np.uint64(order_minhash._ODD))
+        assert order_minhash.fingerprint("any").tolist() == _plain_fingerprint(alike, numbered)
+
+
 def test_order_minhash():
     a = " ".join(f"word{i}" for i in range(400))
     half = len(a) // 2

@@ -40,6 +40,27 @@ def _kmer_hashes(points: np.ndarray, k: int) -> np.ndarray:
             base, span = base * base, 2 * span
 
 
+def _occurrences(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places that bring equal hashes together in the order of the text, and for each how often its hash stands before it."""
+    n, place = len(hashes), None
+    if n < 1 << 24:
+        # The leading bits say which k-mer it is, the trailing ones where it stands, so one fast sort does, unless different
+        # hashes agree in the leading bits.
+        low = np.uint64((1 << 24) - 1)
+        order = np.sort((hashes & ~low) | np.arange(n, dtype=np.uint64))
+        place = (order & low).astype(np.int64)
+        name = hashes[place]
+        new = np.r_[True, name[1:] != name[:-1]]
+        if (new[1:] & (order[1:] >> np.uint64(24) == order[:-1] >> np.uint64(24))).any():
+            place = None
+    if place is None:
+        place = np.argsort(hashes, kind="stable")
+        name = hashes[place]
+        new = np.r_[True, name[1:] != name[:-1]]
+    first = np.flatnonzero(new)
+    return place, np.arange(n) - first[np.cumsum(new) - 1] if len(first) < n else np.zeros(n, np.int64)
+
+
 def fingerprint(text: str, k: int = K, size: int = TUPLE, bins: int = BINS) -> np.ndarray:
     """One 32-bit component per bin, 0 for a bin without k-mers. bins must be a power of two."""
     out = np.zeros(bins, np.uint32)
@@ -49,16 +70,7 @@ def fingerprint(text: str, k: int = K, size: int = TUPLE, bins: int = BINS) -> n
     with np.errstate(over="ignore"):
         hashes = _kmer_hashes(points, k)
         n = len(hashes)
-        # The leading bits say which k-mer it is, the trailing ones where it stands: one sort brings equal k-mers together in
-        # the order of the text. 24 bits of place do for texts of up to 16 million code points.
-        place_bits = np.uint64(24 if n < 1 << 24 else 40)
-        low = (np.uint64(1) << place_bits) - np.uint64(1)
-        order = np.sort((hashes & ~low) | np.arange(n, dtype=np.uint64))
-        place = (order & low).astype(np.int64)
-        name = order >> place_bits
-        new = np.r_[True, name[1:] != name[:-1]]
-        first = np.flatnonzero(new)
-        occurrence = np.arange(n) - first[np.cumsum(new) - 1] if len(first) < n else np.zeros(n, np.int64)
+        place, occurrence = _occurrences(hashes)
         numbered = mix64(hashes[place] + occurrence.astype(np.uint64) * np.uint64(_ODD))
         shift = np.uint64(64 - bins.bit_length() + 1)
         # Only small hashes can be among the smallest of a bin; all are looked at if some bin has too few of them.
