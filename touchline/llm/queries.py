@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import exact_dedup, jaccard_join, license_scan, line_dedup, order_minhash, packing, pieces, shards, token_blocks, toxicity
+from touchline.llm import (
+    ball_search,
+    exact_dedup,
+    fill_middle,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    order_minhash,
+    packing,
+    pieces,
+    shards,
+    token_blocks,
+    toxicity,
+    vector_topk,
+)
 from touchline.llm.common import table
 from touchline.session import scratch_path
 
@@ -63,6 +77,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("form"), F.col("output"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")]
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_order_minhash": op1_order_minhash,
@@ -75,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
+        "op11_fill_middle": op11_fill_middle,
+        "op12_ball_search": op12_ball_search,
+        "op13_vector_topk": op13_vector_topk,
     }
 
 
@@ -136,5 +168,55 @@ FROM base LEFT JOIN found USING (doc_id)
 """
 
 
+_HEX = ", ".join(f"CAST('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, {_HEX} FROM documents),
+e AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), f AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM e)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+_TERM = "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'"
+
+OP12 = f"""
+WITH words AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_TERM}) AS w FROM documents),
+d AS (SELECT doc_id, w, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM d),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, {_TERM})) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS weight FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+scores AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term), total GROUP BY item_id, doc_id
+), ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": OP4, "op6_license_scan": _op6(), "op9_exact_dedup": OP9}
+    return {
+        "op4_jaccard_join": OP4,
+        "op6_license_scan": _op6(),
+        "op9_exact_dedup": OP9,
+        "op11_fill_middle": OP11,
+        "op12_ball_search": OP12,
+        "op13_vector_topk": OP13,
+    }
