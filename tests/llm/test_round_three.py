@@ -106,10 +106,12 @@ def test_ranked_search(spark, docs, empty, monkeypatch, leaf, block, once):
 def test_ball_bounds_hold_and_close_subtrees(monkeypatch):
     monkeypatch.setattr(ball_search, "LEAF_DOCS", 4)
     r, size = np.random.default_rng(2), 120
+    group = ball_search.term_groups([np.arange(0, 50), np.arange(40, 100)], {t: 1 for t in range(110)} | {3: 500, 45: 500}, 600, size)
+    assert group[[0, 1, 49]].tolist() == [0, 0, 0] and group[50] == group[99] == 1 and len(set(group[[3, 45, 100, 101, 119]])) == 5
     topics = [np.sort(r.choice(size, 12, replace=False)) for _ in range(16)]
     lists = [np.sort(r.choice(topics[i % 16], 8, replace=False)) for i in range(600)]
     values = [r.integers(1, 900_000, 8) for _ in lists]
-    tree = ball_search.BallTree(np.arange(600), np.arange(601) * 8, np.concatenate(lists), np.concatenate(values), size)
+    tree = ball_search.BallTree(np.arange(600), np.arange(601) * 8, np.concatenate(lists), np.concatenate(values), group)
     dense = np.zeros((600, size), np.int64)
     for i in range(600):
         dense[i, lists[i]] = values[i]
@@ -120,7 +122,7 @@ def test_ball_bounds_hold_and_close_subtrees(monkeypatch):
             assert smallest[node] == inside.min()
             apart = (dense[inside] - centre[node]) ** 2
             for g in range(radius.shape[1]):
-                assert radius[node, g] ** 2 >= apart[:, np.arange(size) % radius.shape[1] == g].sum(axis=1).max()
+                assert radius[node, g] ** 2 >= apart[:, group == g].sum(axis=1).max()
     scored = 0
     for topic in topics:
         weights, best = r.integers(1, 9000, 12), []
@@ -128,7 +130,7 @@ def test_ball_bounds_hold_and_close_subtrees(monkeypatch):
         truth = dense[:, topic] @ weights
         assert sorted(best, reverse=True) == [(int(truth[i]), -int(i)) for i in np.lexsort((np.arange(600), -truth))[:5]]
     assert scored < 16 * 600 / 3
-    same, best = ball_search.BallTree(np.arange(600)[::-1].copy(), np.arange(601) * 2, np.tile([3, 5], 600), np.tile([7, 11], 600), size), []
+    same, best = ball_search.BallTree(np.arange(600)[::-1].copy(), np.arange(601) * 2, np.tile([3, 5], 600), np.tile([7, 11], 600), group), []
     assert same.search(np.array([3, 5]), np.array([2, 3]), best, 10) < 40
     assert sorted(-i for _, i in best) == list(range(10)) and {s for s, _ in best} == {47}
 

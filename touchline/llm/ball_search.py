@@ -5,6 +5,7 @@ is their inner product. Tasks build a balanced tree over every few thousand docu
 for each group of terms, so a document inside scores at most item · centre + sum over groups of |item| · radius. Radii and norms
 are rounded up, sums of whole numbers below 2^53 are exact in doubles, and bounds are rounded to the next whole number that no score
 inside can pass. The most promising subtree is opened first; one whose bound cannot enter the best k is closed unopened.
+Groups make the bound close: rare terms that one item asks for are a group, and each term that many documents hold is one by itself.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from touchline.llm.common import arrow_rows, in_tasks, slices, stored
 
 SLICE_BYTES = 4 << 20
 ITEMS_AT_ONCE, TERMS_AT_ONCE = 4096, 16_384
-BLOCK_DOCS, BLOCK_ENTRIES, LEAF_DOCS = 8192, 2_000_000, 64
-GROUPS = 256
-CENTRE_CELLS = 4 << 20  # of the centres of one level of a tree
+BLOCK_DOCS, BLOCK_ENTRIES, LEAF_DOCS = 8192, 2_000_000, 16
+COMMON = 0.02  # of the documents hold a term that is a group by itself
+CENTRE_CELLS, RADIUS_CELLS = 4 << 20, 1 << 20  # of the centres of one level of a tree, of the distances at hand at once
 _LAST = (1 << 63) - 1
 _CLASSES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -98,6 +99,19 @@ def weight(documents: int, holding: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * holding + 1)))
 
 
+def term_groups(asked: list[np.ndarray], holding: dict[int, int], documents: int, vocabulary: int) -> np.ndarray:
+    """The group of each term: its own if it is common, else that of the first item that asks for it."""
+    group, groups = np.full(vocabulary, -1), 0
+    for own in asked:
+        rare = [t for t in own.tolist() if group[t] < 0 and holding.get(t, 0) <= COMMON * documents]
+        if rare:
+            group[rare] = groups
+            groups += 1
+    alone = np.flatnonzero(group < 0)
+    group[alone] = groups + np.arange(len(alone))
+    return group
+
+
 def _spread(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entries of the chosen rows in that order, and where each row starts among them."""
     lengths = np.diff(starts)[chosen]
@@ -108,8 +122,8 @@ def _spread(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndar
 class BallTree:
     """A balanced tree over documents given as rows of sparse whole numbers; two levels of it are kept, half-way down and the leaves."""
 
-    def __init__(self, ids: np.ndarray, starts: np.ndarray, terms: np.ndarray, values: np.ndarray, vocabulary: int):
-        n = len(ids)
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, terms: np.ndarray, values: np.ndarray, group: np.ndarray):
+        n, vocabulary, self.group = len(ids), len(group), group
         depth = max(0, math.ceil(math.log2(max(1, n / LEAF_DOCS))))
         self.depth = min(depth, max(0, math.floor(math.log2(max(1, CENTRE_CELLS / max(1, vocabulary))))))
         row, node = np.repeat(np.arange(n), np.diff(starts)), np.zeros(n, np.int64)
@@ -147,28 +161,29 @@ class BallTree:
         ends = np.cumsum(size)
         sums = np.bincount(cell, self.values, nodes * vocabulary)
         centre = np.rint(sums / np.repeat(np.maximum(size, 1), vocabulary))
-        groups = min(GROUPS, vocabulary)
-        group = np.arange(vocabulary) % groups
-        own = np.bincount((np.arange(nodes)[:, None] * groups + group[None, :]).ravel(), centre**2, nodes * groups).reshape(nodes, groups)
-        spot = row * groups + group[self.terms]
-        apart = np.bincount(spot, self.values * (self.values - 2 * centre[cell]), len(node) * groups).reshape(-1, groups)
-        square = np.maximum(apart + own[node], 0)
-        weighed = np.bincount(spot, self.values.astype(np.float64) ** 2, len(node) * groups).reshape(-1, groups) + own[node]
-        square += np.where(weighed >= 2.0**52, 1e-12 * weighed, 0)  # beyond that, sums of whole numbers are rounded
-        radius = np.zeros((nodes, groups))
+        groups = int(self.group.max()) + 1
+        own = np.bincount((np.arange(nodes)[:, None] * groups + self.group[None, :]).ravel(), centre**2, nodes * groups).reshape(nodes, groups)
+        radius, step = np.zeros((nodes, groups)), max(1, RADIUS_CELLS // groups)
+        for first in range(0, len(node), step):
+            docs, cut = node[first : first + step], slice(self.starts[first], self.starts[min(first + step, len(node))])
+            spot, values = (row[cut] - first) * groups + self.group[self.terms[cut]], self.values[cut]
+            apart = np.bincount(spot, values * (values - 2 * centre[cell[cut]]), len(docs) * groups).reshape(-1, groups)
+            square = np.maximum(apart + own[docs], 0)
+            weighed = np.bincount(spot, values.astype(np.float64) ** 2, len(docs) * groups).reshape(-1, groups) + own[docs]
+            square += np.where(weighed >= 2.0**52, 1e-12 * weighed, 0)  # beyond that, sums of whole numbers are rounded
+            begins = np.flatnonzero(np.diff(docs, prepend=-1))
+            radius[docs[begins]] = np.maximum(radius[docs[begins]], np.maximum.reduceat(square, begins))
         smallest = np.full(nodes, _LAST)
         full = np.flatnonzero(size)
         if len(full):
-            radius[full] = np.maximum.reduceat(square, (ends - size)[full])
             smallest[full] = np.minimum.reduceat(self.ids, (ends - size)[full])
         return ends - size, ends, smallest, centre.reshape(nodes, vocabulary), np.nextafter(np.sqrt(radius), np.inf) * (radius > 0)
 
     def search(self, wanted: np.ndarray, weights: np.ndarray, best: list[tuple], k: int) -> int:
         """Puts documents that belong there into best, a heap of (score, -id, null id); returns how many were scored."""
-        groups = min(GROUPS, self.levels[0][3].shape[1])
-        asked, place = np.unique(wanted % groups, return_inverse=True)
+        asked, place = np.unique(self.group[wanted], return_inverse=True)
         norms = np.nextafter(np.sqrt(np.bincount(place, weights.astype(np.float64) ** 2)), np.inf)
-        dense = np.zeros(self.levels[0][3].shape[1], np.int64)
+        dense = np.zeros(len(self.group), np.int64)
         dense[wanted] = weights
 
         def bounds(level: int, nodes: slice) -> np.ndarray:
@@ -176,13 +191,13 @@ class BallTree:
             slack = (radius[nodes][:, asked] @ norms) * (1 + 1e-9)
             return np.floor(centre[nodes][:, wanted] @ weights * (1 + 1e-12 * (slack > 0)) + slack + 0.5)
 
-        def opened(level: int, nodes: slice) -> None:
-            smallest = self.levels[level][2][nodes]
-            for at, bound, least_id in zip(range(nodes.start, nodes.stop), bounds(level, nodes).tolist(), smallest.tolist()):
-                heapq.heappush(queue, (-bound, least_id, level, at))
+        def opened(level: int, nodes: slice, least: int) -> None:
+            bound, smallest = bounds(level, nodes), self.levels[level][2][nodes]
+            for i in np.flatnonzero(bound >= max(least, 1)).tolist():
+                heapq.heappush(queue, (-bound[i], smallest[i], level, nodes.start + i))
 
         queue, scored = [], 0
-        opened(0, slice(0, 1 << self.half))
+        opened(0, slice(0, 1 << self.half), best[0][0] if len(best) == k else 0)
         while queue:
             bound, smallest, level, at = heapq.heappop(queue)
             least, least_id = (best[0][0], -best[0][1]) if len(best) == k else (0, -math.inf)
@@ -192,7 +207,7 @@ class BallTree:
                 continue
             if level == 0:
                 fan = self.depth - self.half
-                opened(1, slice(at << fan, (at + 1) << fan))
+                opened(1, slice(at << fan, (at + 1) << fan), least)
                 continue
             start, end = self.levels[1][0][at], self.levels[1][1][at]
             if start == end:
@@ -211,11 +226,12 @@ class BallTree:
         return scored
 
 
-def _searched(vectors: DataFrame, items: dict, weights: dict[int, int], vocabulary: dict[bytes, int], documents: int, length: int, k: int) -> DataFrame:
+def _searched(vectors: DataFrame, items: dict, holding: dict[int, int], vocabulary: dict[bytes, int], documents: int, length: int, k: int) -> DataFrame:
     """The best k documents of each item among those of a task, the null id as the largest number."""
+    weights = {t: weight(documents, n) for t, n in holding.items()}
     asked = [(item, np.array([vocabulary[t] for t in own if vocabulary[t] in weights], np.int64)) for item, own in items.items()]
     asked = [(item, own, np.array([weights[t] for t in own.tolist()], np.int64)) for item, own in asked if len(own)]
-    size = len(vocabulary)
+    group = term_groups([own for _, own, _ in asked], holding, documents, len(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
@@ -229,9 +245,9 @@ def _searched(vectors: DataFrame, items: dict, weights: dict[int, int], vocabula
             lengths = lists.value_lengths().to_numpy()
             tf, starts = counts.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)])
             values = 1_000_000_000 * tf // (1000 * tf + 8 * np.repeat(m, lengths))
-            tree = BallTree(ids, starts, lists.flatten().to_numpy().astype(np.int64), values, size)
-            for (_, own, weight), heap in zip(asked, best):
-                tree.search(own, weight, heap, k)
+            tree = BallTree(ids, starts, lists.flatten().to_numpy().astype(np.int64), values, group)
+            for (_, own, own_weights), heap in zip(asked, best):
+                tree.search(own, own_weights, heap, k)
 
         waiting, docs, entries = [], 0, 0
         for batch in batches:
@@ -279,9 +295,8 @@ def ranked_search(
         vocabulary = {t: i for i, t in enumerate(sorted({t for own in block.values() for t in own}))}
         vectors = stored(_counted(rows, vocabulary), "term-counts")
         documents, length = vectors.agg(F.count("*"), F.sum("n")).first()
-        holding = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # at most the block's terms
-        weights = {t: weight(documents, n) for t, n in holding}
-        block_found = stored(_searched(vectors, block, weights, vocabulary, documents, length, k), "found")
+        holding = dict(vectors.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator())  # at most the block's terms
+        block_found = stored(_searched(vectors, block, holding, vocabulary, documents, length, k), "found")
         found = block_found if found is None else found.unionByName(block_found)
     if found is None:
         kinds = [T.StructField(c, T.LongType()) for c in ("item_id", "doc_id", "score")]
