@@ -11,6 +11,7 @@ import pytest
 
 from tests.llm.conftest import rows
 from touchline.llm import ball_search, fill_middle, vector_topk
+from touchline.session import session_conf
 
 TEXTS = [(r[0], r[1]) for r in rows()]
 
@@ -175,3 +176,12 @@ def test_vector_topk(spark, monkeypatch, slices, block):
         floats = frame.filter("vec_id < 200").selectExpr("vec_id", "cast(embedding AS array<float>) AS embedding")
         rows = [(x[0], x[1]) for x in floats.collect()]
         assert sorted((tuple(x) for x in vector_topk.top_inner_products(floats, 20, 7).collect()), key=str) == nearest_by_hand(rows, 20, 7)
+
+
+def test_vector_topk_with_queries_in_many_files(spark):
+    r = random.Random(4)
+    vectors = [(i, [r.gauss(0, 1) for _ in range(3)]) for i in range(0, 300)]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(40)
+    with session_conf(spark, spark__sql__shuffle__partitions="23", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        found = sorted((tuple(x) for x in vector_topk.top_inner_products(frame, 3, 4).collect()), key=str)
+    assert found == nearest_by_hand(vectors, 3, 4)

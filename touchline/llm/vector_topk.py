@@ -141,10 +141,10 @@ def top_inner_products(vectors: DataFrame, every: int = 100, k: int = 10, slices
     sends at most k rows and list, however many rows are equal.
     """
     rows = _vectors(vectors, id_col, vector_col)
-    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.max("vector").alias("vector")).orderBy("vec_id")
+    queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.max("vector").alias("vector"))
     spark, found = vectors.sparkSession, None
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    for ids, matrix in _query_blocks(stored(queries, "queries")):
+    for ids, matrix in _query_blocks(stored(queries, "queries").orderBy("vec_id")):
         width = matrix.shape[1]
         lists = in_tasks(rows, _entries(ids, matrix, None, width, slices, k, True), _RESULT).distinct()
         gathered = lists.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k)
