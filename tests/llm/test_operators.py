@@ -110,6 +110,9 @@ def _groups():
 def test_jaccard_join(docs, empty, monkeypatch):
     want = _groups()
     assert sorted(map(tuple, jaccard_join.near_duplicates(docs).collect()), key=str) == want
+    for bucket_tokens in (1, 2000):  # many and few buckets
+        monkeypatch.setattr(jaccard_join, "BUCKET_TOKENS", bucket_tokens)
+        assert sorted(map(tuple, jaccard_join.near_duplicates(docs).collect()), key=str) == want
     monkeypatch.setattr(jaccard_join, "FAMILY_BLOCK", 1)  # families dealt as pairs of blocks
     assert sorted(map(tuple, jaccard_join.near_duplicates(docs).collect()), key=str) == want
     assert jaccard_join.near_duplicates(empty).count() == 0
@@ -120,6 +123,8 @@ def test_pieces(docs, empty):
     plain = pieces.Pieces(model)
     encoded = pieces.encode_pieces(docs, model)
     found = by_doc(pieces.decode_pieces(encoded, model).collect())
+    assert sorted(map(tuple, pieces.encode_and_decode(docs, model).collect()), key=str) == sorted((tuple(r) for x in found.values() for r in x), key=str)
+    assert pieces.encode_and_decode(empty, model).count() == 0
     for doc_id, text in TEXTS:
         data, score = plain.encode(text)
         r = next(r for r in found[doc_id] if r["ids_crc32"] == zlib.crc32(data))

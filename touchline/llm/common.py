@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import math
+import sys
+import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +17,7 @@ from pyspark.sql import functions as F
 from touchline.session import scratch_path
 
 BUCKET_BYTES = 24 << 20
+MOST_PARTS = 20_000  # beyond that parts grow; their tasks sort and stream
 BROADCAST_ROWS = 500_000
 
 
@@ -48,17 +54,23 @@ def quantile_bounds(df: DataFrame, key: str, parts: int) -> list[int]:
 
 
 def range_bucket(key: Column, bounds: list[int]) -> Column:
-    """Number of the range that holds the key: 0 up to the first cut, and so on; a null key counts as the smallest."""
+    """Number of the range that holds the key: 0 up to the first cut, and so on; a null key counts as the smallest.
+
+    The cuts are searched in two levels, so a row looks at about twice the square root of their number.
+    """
     if not bounds:
         return F.lit(0)
-    cuts = F.from_json(F.lit(str(bounds)), "array<bigint>")
-    return F.when(key.isNull(), 0).otherwise(F.size(F.filter(cuts, lambda c: c < key)))
+    run = math.isqrt(len(bounds) - 1) + 1
+    ends, cuts = (F.from_json(F.lit(str(c)), "array<bigint>") for c in (bounds[run - 1 :: run], bounds))
+    passed = run * F.size(F.filter(ends, lambda c: c < key))
+    within = F.transform(F.array(passed), lambda p: p + F.size(F.filter(F.slice(cuts, p + 1, run), lambda c: c < key)))
+    return F.when(key.isNull(), 0).otherwise(within[0])
 
 
 def text_parts(df: DataFrame, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
     """How many parts of about bucket_bytes the whole texts fill."""
     total = df.agg(F.sum(F.octet_length(text_col).cast("bigint") + 16)).first()[0] or 0
-    return max(1, -(-total // bucket_bytes))
+    return min(MOST_PARTS, max(1, -(-total // bucket_bytes)))
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -74,8 +86,38 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
         yield batch.slice(start)
 
 
+def worker_kept() -> dict:
+    """What this Python worker keeps for later tasks of the function that it runs: models and caches."""
+    module = sys.modules.setdefault("_kept_by_tasks", ModuleType("_kept_by_tasks"))
+    return module.__dict__.setdefault("kept", {})
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, as the worker may idle next to others or run something else next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def in_tasks(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """mapInArrow. Workers live longer than jobs: what another function kept in this one is dropped before the task begins, and
+    memory that the task has freed is given back when it ends."""
+    name = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = worker_kept()
+        if kept.get("function") != name:
+            kept.clear()
+            kept["function"] = name
+            give_back()
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def arrow_rows(schema: pa.Schema, columns: list) -> pa.RecordBatch:

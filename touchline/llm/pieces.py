@@ -9,19 +9,21 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from touchline.llm.common import arrow_rows, in_tasks, two_columns
+from touchline.llm.common import arrow_rows, in_tasks, slices, two_columns, worker_kept
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+SLICE_BYTES = 4 << 20
+CACHE_BYTES = 112 << 20  # about, of each worker
+LONGEST_KEPT = 64  # letters of a word that is kept; text without blanks is one long word that will hardly come again
+_ENTRY_BYTES = 270
 _WORDS = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 _RUN = f"{MARK}{MARK}"
 
@@ -29,7 +31,7 @@ _RUN = f"{MARK}{MARK}"
 class Pieces:
     """The pieces of a model file, their automaton, and how single letters without a piece are spelt in bytes."""
 
-    def __init__(self, model_path: str, limit: int = 800_000):
+    def __init__(self, model_path: str, limit: int = CACHE_BYTES):
         import ahocorasick
         import sentencepiece
 
@@ -51,7 +53,7 @@ class Pieces:
         for value, i in self.bytes_of.items():
             self.raw[i] = bytes([value])
         self.silent = {i for i in range(size) if model.is_control(i)}
-        self._limit, self._cache = limit, {}
+        self._limit, self._cache, self.held = limit, {}, 0
 
     def best_path(self, text: str) -> tuple[list[int], float]:
         """Ids and score of the best segmentation of a normalised text; of equal ones, that with the longest last piece, and so on
@@ -88,9 +90,13 @@ class Pieces:
         found = self._cache.get(word)
         if found is None:
             ids, score = self.best_path(word)
-            if len(self._cache) >= self._limit:
-                self._cache.clear()
-            found = self._cache[word] = array("I", ids).tobytes(), score
+            found = array("I", ids).tobytes(), score
+            if len(word) <= LONGEST_KEPT:
+                self.held += _ENTRY_BYTES + 2 * len(word) + len(found[0])
+                if self.held > self._limit:
+                    self._cache.clear()
+                    self.held = 0
+                self._cache[word] = found
         return found
 
     def encode(self, text: str | None) -> tuple[bytes, float]:
@@ -111,7 +117,7 @@ class Pieces:
 
 
 def worker_pieces(model_path: str) -> Pieces:
-    kept = sys.modules.setdefault("_piece_models", ModuleType("_piece_models")).__dict__
+    kept = worker_kept()
     if model_path not in kept:
         kept[model_path] = Pieces(model_path)
     return kept[model_path]
@@ -120,25 +126,26 @@ def worker_pieces(model_path: str) -> Pieces:
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, ids, score (of the best path).
 
-    A null or empty text has no ids and score 0. Null ids and repeated rows each get a row. Other columns are ignored.
+    A null or empty text has no ids and score 0. Null ids and repeated rows each get a row, an empty table gives none. Other columns
+    are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_pieces(model_path)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("score", pa.float64())])
-        for batch in batches:
-            found = [model.encode(t) for t in batch.column(1).to_pylist()]
+        for part in (part for batch in batches for part in slices(batch, "text", SLICE_BYTES)):
+            found = [model.encode(t) for t in part.column(1).to_pylist()]
             offsets = [0]
             for data, _ in found:
                 offsets.append(offsets[-1] + len(data) // 4)
             values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(f[0] for f in found))])
-            yield arrow_rows(schema, [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values), [f[1] for f in found]])
+            yield arrow_rows(schema, [part.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values), [f[1] for f in found]])
 
     return in_tasks(two_columns(docs, id_col, text_col), run, "doc_id bigint, ids array<int>, score double")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
-    """Adds text to rows of encode_pieces, by decoding their ids. Null ids give null."""
+    """Adds text to rows of encode_pieces, by decoding their ids. Null ids give null; an empty table gives no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_pieces(model_path)
@@ -150,3 +157,20 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
             yield arrow_rows(schema, [batch.column(0), counts, crcs, batch.column(2), texts])
 
     return in_tasks(encoded, run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, score double, text string")
+
+
+def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What decode_pieces(encode_pieces(...)) gives, in one step, so that a task needs one worker and one model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = worker_pieces(model_path)
+        schema = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("score", pa.float64()), ("text", pa.string())])
+        for part in (part for batch in batches for part in slices(batch, "text", SLICE_BYTES)):
+            columns = [], [], [], []
+            for text in part.column(1).to_pylist():
+                ids, score = model.encode(text)
+                for column, value in zip(columns, (len(ids) // 4, zlib.crc32(ids), score, model.decode(ids))):
+                    column.append(value)
+            yield arrow_rows(schema, [part.column(0), *columns])
+
+    return in_tasks(two_columns(docs, id_col, text_col), run, "doc_id bigint, n_pieces bigint, ids_crc32 bigint, score double, text string")

@@ -50,7 +50,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode all texts, decode the ids again, and say whether the text came back (a word mark in the text comes back as a blank)."""
     docs, model = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
-    decoded = pieces.decode_pieces(pieces.encode_pieces(docs, model), model)
+    decoded = pieces.encode_and_decode(docs, model)
     return decoded.select("doc_id", "n_pieces", "ids_crc32", "score", F.length("text").cast("bigint").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))
 
 

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from array import array
-from types import ModuleType
+
+from touchline.llm.common import worker_kept
 
 # A word of Latin letters, maybe after a space and before signs: both kinds take the word and the signs apart and neither
 # normalises it further than to lower case, so the merge table of the library can be asked directly, which is much quicker.
@@ -19,6 +19,11 @@ _BEFORE_WORD = re.compile(r"(?= \S)")
 _ODD_SPACE = re.compile(r" (?:\s|$)")
 
 
+CACHE_BYTES = 160 << 20  # about, of each worker
+LONGEST_KEPT = 64  # letters of a piece that is kept; text without blanks is one long piece that will hardly come again
+_ENTRY_BYTES = 220
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself where printable, else the next free one from 256."""
     shown = {b for b in range(256) if chr(b).isprintable() and b != 32}
@@ -43,7 +48,7 @@ class _Pieces(dict):
     """Piece to id bytes; a piece that is not there is encoded when first asked for."""
 
     def __init__(self, library, lower: bool, limit: int):
-        self._library, self._tokenize, self._lower, self._limit = library, library.model.tokenize, lower, limit
+        self._library, self._tokenize, self._lower, self._limit, self.held = library, library.model.tokenize, lower, limit, 0
         self._letters, self._signs = _byte_letters(), {}
 
     def _merged(self, text: str) -> list[int]:
@@ -56,22 +61,27 @@ class _Pieces(dict):
             space, word, signs = plain.groups()
             ids = self._merged(space + (word.lower() if self._lower else word))
             if signs:
-                if signs not in self._signs:
-                    self._signs[signs] = self._merged(signs)
-                ids += self._signs[signs]
+                merged = self._signs.get(signs) or self._merged(signs)
+                if len(signs) <= LONGEST_KEPT:
+                    self._signs[signs] = merged
+                ids += merged
         else:
             ids = self._library.encode(piece, add_special_tokens=False).ids
-        if len(self) >= self._limit:
-            self.clear()
-            self._signs.clear()
-        self[piece] = data = array("I", ids).tobytes()
+        data = array("I", ids).tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            self.held += _ENTRY_BYTES + len(piece) + len(data)
+            if self.held > self._limit:
+                self.clear()
+                self._signs.clear()
+                self.held = 0
+            self[piece] = data
         return data
 
 
 class CachedTokenizer:
     """ids(text) gives what encode(text, add_special_tokens=False) gives, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, pieces, limit: int = 600_000):
+    def __init__(self, path: str, pieces, limit: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -88,9 +98,8 @@ class CachedTokenizer:
 
 
 def worker_tokenizer(path: str, pieces) -> CachedTokenizer:
-    """The tokenizer of this Python worker, which tasks that run in it one after the other share."""
-    kept = sys.modules.setdefault("_token_caches", ModuleType("_token_caches")).__dict__
-    key = f"{path} {pieces.__name__}"
+    """The tokenizer of this Python worker, which tasks of one function that run in it one after the other share."""
+    kept, key = worker_kept(), f"{path} {pieces.__name__}"
     if key not in kept:
         kept[key] = CachedTokenizer(path, pieces)
     return kept[key]
