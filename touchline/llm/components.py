@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import stored
+from touchline.llm.common import in_tasks, stored
 
 
 class Forest:
@@ -57,7 +57,8 @@ def contracted(links: DataFrame, most: int = 500_000) -> DataFrame:
         if len(forest):
             yield _as_batch(forest, schema)
 
-    return links.select("a", "b").mapInArrow(run, links.select("a", "b").schema)
+    pairs = links.select("a", "b")
+    return in_tasks(pairs, run, pairs.schema)
 
 
 def _as_batch(forest: Forest, schema: pa.Schema) -> pa.RecordBatch:

@@ -9,12 +9,13 @@ sets are compared, and pairs that are connected already are not compared again,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import arrow_rows, bounded, in_tasks, mix64, slices, stored, two_columns
@@ -24,11 +25,11 @@ from touchline.llm.shingles import Shingler, set_name
 PERCENT = 75
 ORDERS = 2
 CHUNK_DOCS, CHUNK_TOKENS = 512, 1 << 18
-BUCKET_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 18
 FAMILY_BLOCK = 2000
 _LOW = np.uint64((1 << 48) - 1)
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89))
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 4 << 20
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -73,8 +74,8 @@ _PACKED_ARROW = pa.schema(
 
 
 def _chunks(bits: int):
-    """Documents in chunks: a row per chunk and bucket of leading hash bits with all its shingles, and a header row (bucket -1)
-    with names and sizes. A task sends each class once."""
+    """Documents in chunks: a row per chunk and bucket of leading hash bits with all its shingles, and a header row with names and
+    sizes. Headers have negative buckets, spread over many, as they only pass through. A task sends each class once."""
 
     def pack(number: int, sets: list[np.ndarray], names: list[bytes]) -> pa.RecordBatch:
         sizes = np.array([len(s) for s in sets], "<u4")
@@ -84,7 +85,8 @@ def _chunks(bits: int):
         tokens, place, bucket = tokens[order] & _LOW, place[order], bucket[order]
         edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
         short = np.array([np.frombuffer(n[:8], "<u8")[0] for n in names], "<u8")
-        rows = [(number, -1, b"", sizes.tobytes(), b"".join(names), b"", b"")]
+        header = -1 - int(mix64(np.array([number], np.uint64))[0] % np.uint64(1 << 16))
+        rows = [(number, header, b"", sizes.tobytes(), b"".join(names), b"", b"")]
         for a, b in zip(edge.tolist(), edge[1:].tolist()):
             there, counts = np.unique(place[a:b], return_counts=True)
             rows.append((number, int(bucket[a]), there.astype("<u2").tobytes(), counts.astype("<u4").tobytes(), short[there].tobytes(), _six(tokens[a:b]), b""))
@@ -183,14 +185,14 @@ def _count_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield arrow_rows(_PACKED_ARROW, list(zip(*out)))
 
 
-def _prefixes(percent: int):
+def _prefixes(percent: int, bits: int):
     """For each chunk put together again: the shared shingles in each class's prefix under the first order."""
     schema = pa.schema([("token", pa.int64()), ("node", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["chunk"]):
             rows = group.to_pydict()
-            head = rows["bucket"].index(-1)
+            head = next(r for r, bucket in enumerate(rows["bucket"]) if bucket < 0)
             sizes = np.frombuffer(rows["counts"][head], "<u4").astype(np.int64)
             names = rows["names"][head]
             others = [r for r in range(len(rows["bucket"])) if r != head]
@@ -199,7 +201,7 @@ def _prefixes(percent: int):
             place = np.concatenate(
                 [np.repeat(np.frombuffer(rows["places"][r], "<u2"), np.frombuffer(rows["counts"][r], "<u4")) for r in others]
             ).astype(np.int64)
-            tokens = np.concatenate([_from_six(rows["tokens"][r]) | np.uint64(rows["bucket"][r] << 48 & (1 << 64) - 1) for r in others])
+            tokens = np.concatenate([_from_six(rows["tokens"][r]) | np.uint64(rows["bucket"][r] << (64 - bits)) for r in others])
             spread = np.concatenate([np.frombuffer(rows["spread"][r], "<u2") for r in others])
             order = np.lexsort((mix64(tokens ^ _SEEDS[0]), spread, place))
             place, tokens = place[order], tokens[order]
@@ -315,13 +317,18 @@ def _verify(percent: int):
     return run
 
 
-def _name_of(text: Column) -> Column:
-    @F.arrow_udf("binary")
-    def name(texts: pa.Array) -> pa.Array:
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, text) for rows (doc_id, text) whose set is not empty."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        return pa.array([set_name(s) for s in shingler.sets(texts.to_pylist())], pa.binary())
+        for batch in batches:
+            for part in slices(batch, "text", _BATCH_BYTES):
+                names = pa.array([set_name(s) for s in shingler.sets(part.column("text").to_pylist())], pa.binary())
+                yield arrow_rows(schema, [part.column("doc_id"), names, part.column("text")]).filter(names.is_valid())
 
-    return name(text)
+    return in_tasks(docs, run, "doc_id bigint, node binary, text string")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -341,10 +348,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(classes, "classes")
 
     total = rows.agg(F.sum("n")).first()[0] or 0
-    bits = min(16, max(0, (total // BUCKET_TOKENS).bit_length()))
+    bits = min(30, max(0, (total // BUCKET_TOKENS).bit_length()))
     packed = in_tasks(texts, _chunks(bits), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
     counted = in_tasks(packed, _count_bucket, _PACKED).repartition("chunk").sortWithinPartitions("chunk")
-    postings = in_tasks(counted, _prefixes(percent), "token bigint, node binary").repartition("token").sortWithinPartitions("token")
+    postings = in_tasks(counted, _prefixes(percent, bits), "token bigint, node binary").repartition("token").sortWithinPartitions("token")
     met = stored(in_tasks(postings, _meet, "a binary, b binary"), "meetings")
 
     families = connected_components(met, "families").withColumnRenamed("component", "family")
@@ -353,8 +360,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     other = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     pair = F.transform(other, lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
-    named = texts.withColumn("node", _name_of(F.col("text")))
-    wanted = named.join(bounded(members), "node").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+    wanted = _named(texts).join(bounded(members), "node").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
     dealt = wanted.select("family", F.explode(pair).alias("at"), "node", "text").select("family", "at.i", "at.j", "node", "text")
     dealt = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
     links = stored(in_tasks(dealt, _verify(percent), "a binary, b binary"), "links")
@@ -371,8 +377,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group, that with the smallest id, with all columns; documents without links stay, null ids too.
 
-    Dropped ids are joined as a broadcast if a count shows them to be few, else by a shuffle of the documents on their id.
+    Repeated rows of one id stay or go together. Null and empty texts stay; an empty table stays empty. Dropped ids are joined as a
+    broadcast if a count shows them to be few, else by a shuffle of the documents on their id.
     """
     found = stored(near_duplicates(docs, id_col, text_col, percent), "near-duplicates")
-    dropped = bounded(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")))
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    dropped = bounded(found.filter("doc_id <> component_id").select(F.col("doc_id").alias(f"dropped_{uuid.uuid4().hex}")))
+    return docs.join(dropped, docs[id_col].cast("bigint") == F.col(dropped.columns[0]), "left_anti")
