@@ -399,6 +399,16 @@ def oracle_sql() -> dict[str, str]:
         " remark FROM raw_matches",
         "csv_directory": RAW
         + " SELECT trim(event) AS event, COUNT(*) AS row_count FROM raw_matches GROUP BY 1",
+        "csv_multi_line": RAW
+        + """ SELECT match_date, trim(home) AS home, concat(remark, chr(10), '"', trim(event), '"') AS note FROM raw_matches""",
+        "csv_mixed_headers": MATCHES
+        + " SELECT CASE WHEN neutral THEN 'true' ELSE 'false' END AS neutral, CAST(year(match_date) AS INT) AS year,"
+        " COUNT(*) AS row_count, COUNT(CASE WHEN neutral THEN city END) AS with_city, CAST(3 AS BIGINT) AS file_count"
+        " FROM matches WHERE neutral IS NOT NULL GROUP BY 1, 2",
+        "mapping_check": RAW
+        + " SELECT unnest(['Mapping contains unknown target fields: venue.', 'Mapping is missing required target fields: tournament.',"
+        " 'Mapping reuses the same source column for multiple target fields: home.',"
+        " 'Source column ''town'' for target ''city'' was not found.']) AS problem, COUNT(*) AS rows FROM raw_matches",
         "export_slice": ENRICHED
         + " SELECT date, home_team, away_team, CAST(home_score AS VARCHAR) AS home_score,"
         " CAST(away_score AS VARCHAR) AS away_score, tournament, city, country,"

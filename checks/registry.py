@@ -14,7 +14,7 @@ from touchline.functions import parsing
 from touchline.functions.text import strip_strings
 from touchline.operators import filters, profile, quality, reshape, standardize
 from touchline.operators.enrich import enrich_matches
-from touchline.operators.mapping import apply_mapping
+from touchline.operators.mapping import apply_mapping, mapping_report
 from touchline.plans import facts, jobs, reports, views
 from touchline.session import scratch_path
 from touchline.sources import csv, outputs, table
@@ -102,6 +102,31 @@ def _csv_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of two lines with quotes in them, written and read by many tasks."""
+    path = scratch_path(spark, "lines") + ".csv"
+    note = F.concat("remark", F.lit('\n"'), F.trim("event"), F.lit('"'))
+    outputs.write_output(fixtures.raw_matches(spark, sf_dir).select("match_date", "home", note.alias("note")), path, fmt="csv")
+    return csv.read_matches_csv(spark, path, multi_line=True)
+
+
+def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of neutral matches in contract order and of others in reverse order without the city, three files each."""
+    path = scratch_path(spark, "mixed")
+    rows = _contract_rows(spark, sf_dir).withColumn("played", F.col("date"))
+    rest = [c for c in reversed(rows.columns) if c != "city"]
+    for part in (rows.filter("neutral"), rows.filter("NOT neutral").select(rest)):
+        part.repartition(3).write.mode("append").option("header", True).csv(path)
+    read = csv.read_matches_dir(spark, path)
+    read = read.filter("source_file LIKE 'part-%'").groupBy("neutral", F.year("date").alias("year"))
+    return read.agg(F.count(F.lit(1)).alias("row_count"), F.count("city").alias("with_city"), F.count_distinct("source_file").alias("file_count"))
+
+
+def _mapping_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wrong = {k: v for k, v in fixtures.RAW_MAPPING.items() if k != "tournament"} | {"venue": " Event", "city": "town", "away_team": "HOME"}
+    return mapping_report(fixtures.raw_matches(spark, sf_dir), wrong)
+
+
 def _export_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "slice") + ".csv"
     m = enrich_matches(fixtures.matches(spark, sf_dir))
@@ -209,6 +234,9 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "csv_roundtrip": _csv_roundtrip,
         "csv_directory": _csv_directory,
+        "csv_multi_line": _csv_multi_line,
+        "csv_mixed_headers": _csv_mixed_headers,
+        "mapping_check": _mapping_check,
         "export_slice": _export_slice,
         "standardize_job": _standardize_job,
         "load_matches": _load_matches,

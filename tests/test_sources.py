@@ -151,11 +151,14 @@ def test_directory_lists_csv_files_by_name(spark, file, tmp_path):
     }
 
 
-def test_directory_with_different_headers_fails(spark, file, tmp_path):
-    file("date,a\n2024-01-01,x\n", "a.csv")
-    file("date,b\n2024-01-01,y\n", "b.csv")
-    with pytest.raises(Exception, match="(?i)header"):
-        csv.read_matches_dir(spark, str(tmp_path)).collect()
+def test_directory_with_different_headers_is_joined_by_name(spark, file, tmp_path):
+    file(HEADER + LINES, "a.csv")
+    file(LINES.splitlines()[0].replace("2024", "2023") + "\n", "empty_header.csv")
+    file("home_team,date\nOther,2022-01-01\n", "b.csv")
+    found = csv.read_matches_dir(spark, str(tmp_path)).orderBy("date").filter("date is not null").collect()
+    assert [(r["home_team"], r["city"], r["source_file"]) for r in found] == [
+        ("Other", None, "b.csv"), ("Harbour Lions", "Westport", "a.csv"), ("Rhone Valley", "Easton", "a.csv"),
+    ]
 
 
 def test_directory_errors(spark, file, tmp_path):

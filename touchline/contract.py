@@ -145,6 +145,7 @@ MSG_SOURCE_LOADED = "Rows for source_file '{}' already exist in matches."
 MSG_NOT_LOADABLE = "Standardized data is not valid for loading: "
 MSG_TOO_MANY_FIELDS = "A line of the CSV file has more fields than the header."
 MSG_OPEN_QUOTE = "A line of the CSV file has an unclosed quote. Read files with line breaks inside quotes with multi_line=True."
+MSG_SPLITS_CHANGED = "The blocks of a CSV file are not those whose quotes were counted. Read the file again."
 MSG_HEADERS_CLASH = "CSV headers agree after trimming and lower-casing: {}."
 MSG_NO_SCRATCH = "Set spark.checkpoint.dir to a folder that all machines share, or pass a path."
 MSG_NOT_UTF8 = "Could not read the CSV file as UTF-8. Please check the file encoding."

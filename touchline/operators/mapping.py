@@ -6,8 +6,10 @@ from collections import Counter
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from touchline import contract as C
+from touchline.functions.numeric import row_count
 from touchline.functions.text import ref
 
 
@@ -33,6 +35,13 @@ def check_mapping(columns: Iterable[str], mapping: Mapping[str, str]) -> list[st
     return problems
 
 
+def mapping_report(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    """(problem, rows) per problem of a mapping, rows being how many rows of the frame wait for it to be solved; none if there is none."""
+    problems = check_mapping(df.columns, clean_mapping(mapping))
+    listed = F.array(*[F.lit(p) for p in problems]) if problems else F.array().cast("array<string>")
+    return df.agg(row_count().alias("rows")).select(F.explode(listed).alias("problem"), "rows")
+
+
 def dropped_columns(columns: Iterable[str], mapping: Mapping[str, str]) -> list[str]:
     return sorted(set(columns) - set(mapping.values()))
 

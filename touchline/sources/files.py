@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -37,6 +38,33 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Could not move {source} to {target}")
 
 
+def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Files directly inside a folder whose names end so, whatever the case, by name."""
+    fs, target = _resolve(spark, path)
+    found = [s.getPath() for s in fs.listStatus(target) if s.isFile() and s.getPath().getName().lower().endswith(suffix)]
+    return [p.toString() for p in sorted(found, key=lambda p: p.getName())]
+
+
+def head(spark: SparkSession, path: str, size: int = 1 << 16) -> bytes:
+    """The first bytes of a file."""
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
+def literal(path: str) -> str:
+    """The path with the signs escaped that Spark would take as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def as_given(path: str) -> str:
+    """The path that literal was made of."""
+    return re.sub(r"\\(.)", r"\1", path)
+
+
 def base_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
