@@ -18,6 +18,7 @@ from touchline import contract as C
 from touchline.functions import parsing
 from touchline.functions.numeric import row_count
 from touchline.functions.text import ref, string_columns, strip
+from touchline.operators.duplicates import duplicate_rows
 
 REPORT_COLUMNS = ("rule_id", "severity", "column", "violations", "message")
 
@@ -133,27 +134,6 @@ def _blank_text(rules: RuleSet, text: dict[str, Column]) -> None:
     rules.warning("V4", None, total, F.concat(F.lit(C.MSG_BLANK_TEXT), listed, F.lit(".")))
 
 
-def _row_digest(df: DataFrame) -> Column | None:
-    """A digest that only equal rows share; None if some column's text would not tell its values apart."""
-    parts = []
-    for f in df.schema.fields:
-        if not isinstance(f.dataType, (T.StringType, T.BooleanType, T.IntegralType, T.DateType, T.DecimalType, T.NullType)):
-            return None
-        text = ref(f.name).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256)) if parts else None
-
-
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier one. NULLs are equal; copies collapse map-side.
-
-    Rows of plain columns are shuffled as a SHA-256 digest of their values, each marked as missing or led by its length.
-    """
-    key = _row_digest(df)
-    groups = df.groupBy(*([ref(c) for c in df.columns] if key is None else [key.alias("digest")])).agg(row_count().alias("copies"))
-    return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
-
-
 def rule_counts(df: DataFrame, rules: RuleSet, duplicates: bool = True) -> DataFrame:
     """The one-row counts frame: a single aggregate, with the duplicate count as a scalar subquery."""
     counts = rules.prepare(df).agg(*rules.counts.values())
