@@ -67,12 +67,11 @@ def test_number_of_scans(stored, query, reads):
     assert scans(query(stored)) == reads
 
 
-def test_extremes_are_found_once(stored):
-    """The five extreme values come from one aggregate over numbers, however often they are compared."""
-    found = facts._match_facts(stored)[0]
-    found.collect()
-    final = plan(found).split("Initial Plan")[0]
-    assert final.count("FileScan parquet") == 1 and "ReusedSubquery" in final
+def test_facts_read_the_matches_twice(stored):
+    """All counts and extreme values come from one aggregate over grouping sets, the matches that reach an extreme from a second scan."""
+    counts = facts._counts(stored, 50)
+    assert scans(counts) == 1 and len(re.findall(r"\bExpand\b", plan(counts))) == 1
+    assert scans(facts.interesting_facts(stored)) == 1
 
 
 def test_distinct_counts_do_not_multiply_rows(stored):
