@@ -19,7 +19,7 @@ from touchline import contract as C
 
 BROADCAST_BLOCKS = 200_000
 WHOLE, ENDING, INSIDE, BEGINNING = range(4)  # a record; pieces that end one, lie inside one, begin one; a block's pieces in this order
-_PIECES = "file string, block bigint, kind int, first boolean, record binary"
+_PIECES = "key bigint, kind int, first boolean, record binary"
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -34,22 +34,21 @@ def _quotes(line: Column) -> Column:
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records and pieces from the lines (file, block, open, key, line) of whole blocks, each block's in their order.
+    """Records and pieces from the lines (key, open, start, line) of whole blocks, each block's in their order; a block has a key.
 
     Lines that are records by themselves are picked by number; only the others are handled one by one.
     """
-    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("kind", pa.int32()), ("first", pa.bool_()), ("record", pa.binary())])
-    key, place, odd, held, heading, at_start = None, None, 0, [], False, False
+    schema = pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("first", pa.bool_()), ("record", pa.binary())])
+    key, odd, held, heading, at_start = None, 0, [], False, False
 
     def rows(kind: int, records: list | pa.Array, first: bool) -> pa.RecordBatch:
         n = len(records)
         values = records if isinstance(records, pa.Array) else pa.array(records, pa.binary())
-        flags = pa.array([first] + [False] * (n - 1), pa.bool_())
-        columns = [pa.array([place[0]] * n, pa.string()), pa.array([place[1]] * n, pa.int64()), pa.array([kind] * n, pa.int32()), flags, values]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        flags = pa.array(np.arange(n) < int(first))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(np.full(n, kind, np.int32)), flags, values], schema=schema)
 
     for batch in batches:
-        keys = batch.column(3).to_numpy()
+        keys = batch.column(0).to_numpy()
         edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
         for start, end in zip(edges, edges[1:]):
             if start == end:
@@ -57,10 +56,9 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if keys[start] != key:
                 if held:
                     yield rows(INSIDE if heading else BEGINNING, [b"\n".join(held)], at_start)
-                key, place = keys[start], (batch.column(0)[start].as_py(), batch.column(1)[start].as_py())
-                odd = int(batch.column(2)[start].as_py())
-                held, heading, at_start = [], bool(odd), place[1] == 0
-            lines = batch.column(4).slice(start, end - start)
+                key, odd = keys[start], batch.column(1)[start].as_py()
+                held, heading, at_start = [], bool(odd), batch.column(2)[start].as_py()
+            lines = batch.column(3).slice(start, end - start)
             after = (odd + np.cumsum(pa.compute.count_substring(lines, '"').to_numpy())) & 1
             begins = np.flatnonzero(np.r_[odd, after[:-1]] == 0)
             odd = int(after[-1])
@@ -116,21 +114,24 @@ def csv_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     blocks = lines.groupBy("file", "block").agg((F.sum(_quotes(F.col("line"))) % 2).alias("odd"))
     file = Window.partitionBy("file")
     before = F.coalesce(F.sum("odd").over(file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    states = blocks.select("file", "block", (before % 2).cast("int").alias("open"), (F.sum("odd").over(file) % 2).alias("unclosed"))
+    key = F.xxhash64("file", "block")
+    states = blocks.select("file", "block", (before % 2).cast("int").alias("open"), (F.sum("odd").over(file) % 2).alias("unclosed"), key.alias("key"))
     known = states.limit(BROADCAST_BLOCKS + 1).collect()
     if len(known) <= BROADCAST_BLOCKS:
         reaching = any(r["open"] or r["unclosed"] for r in known)
-        dealt = lines.join(F.broadcast(spark.createDataFrame(known, states.schema)), ["file", "block"], "left")
+        states = F.broadcast(spark.createDataFrame(known, states.schema))
+        dealt = lines.join(states, ["file", "block"], "left")
     else:
         reaching = True
         numbered = lines.withColumn("place", F.monotonically_increasing_id()).join(states, ["file", "block"], "left")
-        dealt = numbered.repartition("file", "block").sortWithinPartitions("file", "block", "place")
+        dealt = numbered.repartition("key").sortWithinPartitions("key", "place")
     opened = F.coalesce("open", F.raise_error(F.lit(C.MSG_SPLITS_CHANGED)).cast("int")).alias("open")
-    key = F.xxhash64("file", "block").alias("key")
-    pieces = dealt.select("file", "block", opened, key, "line").mapInArrow(_together, _PIECES)
-    whole = pieces.filter(F.col("kind") == WHOLE).select("file", "first", "record")
+    pieces = dealt.select(F.coalesce("key", key).alias("key"), opened, (F.col("block") == 0).alias("start"), "line").mapInArrow(_together, _PIECES)
+    whole = pieces.filter(F.col("kind") == WHOLE).select("key", "first", "record")
+    whole = whole.join(states.select("key", "file"), "key").select("file", "first", "record")
     if reaching:
-        whole = whole.unionByName(_joined(pieces.filter(F.col("kind") != WHOLE)))
+        rest = pieces.filter(F.col("kind") != WHOLE).join(states.select("key", "file", "block"), "key")
+        whole = whole.unionByName(_joined(rest))
     text = F.col("record").cast("string")
     text = F.when(text.contains("\r"), F.regexp_replace(text, "\r(\n|$)", "$1")).otherwise(text)
     return whole.select("file", "first", text.alias("record")).filter("record <> ''")
