@@ -39,7 +39,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Scores and tokens cannot be had in SQL; tests hold each stage against brute force.
+# Scores and tokens cannot be had in SQL; tests compare columns, ids and counts of the stages.
 ORACLE_SQL = None
 
 
