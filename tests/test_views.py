@@ -1,6 +1,8 @@
 """Edge cases of reports and views: missing values, ties, gaps, empty slices; and invariants on the given tables."""
 
-from datetime import date
+import re
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -318,3 +320,55 @@ def test_profile_of_an_empty_frame(spark):
         ("date", 0.0, 0),
         ("home_team", 0.0, 0),
     ]
+
+
+# --- column profile over sources that cost more than their bytes -----------------------------------
+
+
+def by_name(df):
+    return {r["column_name"]: (r["position"], r["data_type"], r["missing_count"], r["missing_pct"], r["distinct_count"]) for r in column_profile(df).collect()}
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Scan (?:csv|parquet|ExistingRDD)", plan))
+
+
+def test_column_profile_evaluates_a_text_source_once(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.col("id").alias("a"), (F.col("id") % 7).alias("b"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("x"), F.col("id") % 11)).alias("c"), F.lit(None).cast("string").alias("d")
+    )
+    rows.write.option("header", True).csv(str(tmp_path / "text"))
+    rows.write.parquet(str(tmp_path / "columns"))
+    text = spark.read.option("header", True).schema("a bigint, b bigint, c string, d string").csv(str(tmp_path / "text"))
+    stored = spark.read.parquet(str(tmp_path / "columns"))
+    assert scans(column_profile(text)) == 1 and scans(column_profile(stored)) == 4
+    assert by_name(text) == by_name(stored)
+    assert by_name(text)["c"] == (3, "string", 1334, 33.35, 11) and by_name(text)["d"][2:] == (4000, 100.0, 0)
+    joined = stored.join(text.select(F.col("a").alias("key")), F.col("a") == F.col("key"))
+    assert by_name(joined)["b"] == by_name(stored)["b"] and scans(column_profile(joined)) <= 2
+
+
+def test_column_profile_tells_values_of_any_type_apart(spark):
+    rows = [
+        (0.0, datetime(2024, 10, 27, 0, 30), b"a", [1], "2024-01-01", Decimal("1.10")),
+        (-0.0, datetime(2024, 10, 27, 1, 30), b"A", [1], "2024-01-02", Decimal("1.1")),
+        (float("nan"), datetime(2024, 10, 27, 0, 30), b"", None, None, Decimal("1.11")),
+        (float("nan"), None, None, [2], "", None),
+    ]
+    df = spark.createDataFrame(rows, "f double, t timestamp, b binary, l array<int>, `odd.name` string, n decimal(9,2)")
+    want = {c: df.groupBy(F.col(f"`{c}`").alias("v")).count().filter("v is not null").count() for c in df.columns}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # an hour that comes twice
+        found = by_name(df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert {c: found[c][4] for c in df.columns} == want == {"f": 2, "t": 2, "b": 3, "l": 2, "odd.name": 3, "n": 2}
+
+
+def test_column_profile_of_frames_without_rows_or_columns(spark):
+    empty = spark.createDataFrame([], "place int, value string, copies double, rows array<int>")
+    assert {c: v[2:] for c, v in by_name(empty).items()} == {c: (0, 0.0, 0) for c in empty.columns}
+    with_clashes = spark.createDataFrame([(1, "a", 2.0, [1]), (None, "a", 3.0, [1])], empty.schema)
+    assert {c: v[4] for c, v in by_name(with_clashes).items()} == {"place": 1, "value": 1, "copies": 2, "rows": 1}

@@ -24,14 +24,14 @@ ROW_BYTES = 8  # of input a row takes at least, about; only the number of hash b
 RUN_ROWS = 1 << 20  # hashes that a task sorts at a time
 RANGE_ROWS = 1 << 22  # hashes of a range, about
 BROADCAST_HASHES = 500_000
-_PLAIN = (T.StringType, T.BooleanType, T.IntegralType, T.DateType, T.DecimalType, T.NullType)
+PLAIN = (T.StringType, T.BooleanType, T.IntegralType, T.DateType, T.DecimalType, T.NullType)
 
 
 def row_digest(df: DataFrame) -> Column | None:
     """A digest that only equal rows share; None if some column's text would not tell its values apart."""
     parts = []
     for f in df.schema.fields:
-        if not isinstance(f.dataType, _PLAIN):
+        if not isinstance(f.dataType, PLAIN):
             return None
         text = ref(f.name).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
@@ -153,7 +153,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     else all rows are, whose copies collapse before the shuffle.
     """
     size = input_bytes(df)
-    if size <= SMALL_BYTES or not df.columns or not all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
+    if size <= SMALL_BYTES or not df.columns or not all(isinstance(f.dataType, PLAIN) for f in df.schema.fields):
         return repeats(df)
     value, found = repeated_hashes(df, size // ROW_BYTES)
     few = [r[0] for r in found.limit(BROADCAST_HASHES + 1).toLocalIterator()]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions import parsing
 from touchline.functions.numeric import half_even, row_count
 from touchline.functions.text import ref
+from touchline.operators.duplicates import PLAIN
 from touchline.operators.quality import duplicate_rows
 from touchline.operators.reshape import distinct_count
 
@@ -60,22 +64,64 @@ def _texts(report: DataFrame, severity: str) -> Column:
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row per column: position, name, type, missing count and share, distinct non-missing values.
 
-    Every column is grouped by itself: on columnar storage that reads each byte once, keeps native types
-    and merges equal values before the shuffle. Store a text source first (profile_job does), as it would
-    be parsed once per column. approx=True needs one pass and shuffles no values.
+    Over plain columnar files every column is grouped by itself: that reads each byte once and keeps native types. Anything else
+    (text, joins, aggregates, rows of the driver) is evaluated once: its columns become (column, value) rows of one group-by, but for
+    columns whose text would not tell values apart, which are evaluated on their own. Either way equal values merge before the
+    shuffle. approx=True needs one pass and shuffles no values.
     """
     if approx:
         return _finish(_sketched(df), df)
-    lines = None
-    for name in df.columns:
-        groups = df.groupBy(ref(name).alias("value")).agg(row_count().alias("copies"))
-        line = groups.agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("missing"),
-            F.count("value").alias("distinct_values"),
-        ).withColumn("column_name", F.lit(name))
-        lines = line if lines is None else lines.unionByName(line)
-    return _finish(lines, df)
+    together = {} if reads_columns_alone(df) else _value_texts(df)
+    lines = [_line(df.groupBy(ref(name).alias("value")), F.lit(name)) for name in df.columns if name not in together]
+    if together:
+        names = F.array(*[F.lit(name) for name in together])
+        cells = F.array(*[F.struct(F.lit(i).alias("place"), value.alias("value")) for i, value in enumerate(together.values())])
+        found = df.select(F.inline(cells)).groupBy("place", "value").agg(row_count().alias("copies"))
+        counted = found.groupBy("place").agg(*_counts())
+        # A frame without rows has no cells, yet every column has its line.
+        every = df.sparkSession.range(len(together)).select(F.col("id").cast("int").alias("place"))
+        whole = every.join(F.broadcast(counted), "place", "left").na.fill(0)
+        lines.append(whole.withColumn("column_name", F.element_at(names, F.col("place") + 1)).drop("place"))
+    return _finish(reduce(DataFrame.unionByName, lines), df)
+
+
+def reads_columns_alone(df: DataFrame) -> bool:
+    """Whether one column of the frame costs little more than its bytes: only projections and filters over Parquet or ORC files."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName().startswith("LogicalRelation") and plan.relation().toString().lower() in ("parquet", "orc")
+
+
+def _value_texts(df: DataFrame) -> dict[str, Column]:
+    """Columns as text that differs if and only if their values do; columns without such a text are left out."""
+
+    def text(value: Column, kind: T.DataType) -> Column | None:
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0.0)  # both zeros are one value
+        elif isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, T.BinaryType):
+            value = F.hex(value)
+        elif not isinstance(kind, (*PLAIN, T.TimestampNTZType)) or isinstance(kind, T.StringType) and kind.collation != "UTF8_BINARY":
+            return None  # nested, or a collation that takes different texts for equal
+        return value.cast("string")
+
+    texts = {f.name: text(ref(f.name), f.dataType) for f in df.schema.fields}
+    return {name: value for name, value in texts.items() if value is not None}
+
+
+def _counts() -> list[Column]:
+    missing = F.sum(F.when(F.col("value").isNull(), F.col("copies")))
+    return [
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+        F.coalesce(missing, F.lit(0)).alias("missing"),
+        F.count("value").alias("distinct_values"),
+    ]
+
+
+def _line(groups: GroupedData, name: Column) -> DataFrame:
+    return groups.agg(row_count().alias("copies")).agg(*_counts()).withColumn("column_name", name)
 
 
 def _sketched(df: DataFrame) -> DataFrame:
