@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -7,6 +8,7 @@ from tests.conftest import VALID, as_dicts, changed
 from touchline import contract as C
 from touchline.operators.enrich import enrich_matches
 from touchline.plans import jobs
+from touchline.session import session_conf
 from touchline.sources import csv, files, outputs, table
 
 HEADER = "Date ,home_team,AWAY_team,home_score,away_score,tournament,city,country,neutral\n"
@@ -310,6 +312,58 @@ def test_ids_have_no_gaps_however_many_tasks_load(spark, make, new_table):
     assert ids == list(range(1, 648))
 
 
+def test_loads_at_the_same_time(spark, make, new_table):
+    table.ensure_matches_table(spark, new_table)
+    rows = {f"{n}.csv": make([changed(VALID[i % 2], date=f"2024-0{1 + i % 9}-11") for i in range(100 + n)]).repartition(4) for n in range(4)}
+    with ThreadPoolExecutor(4) as pool:
+        loaded = list(pool.map(lambda name: table.load_matches(spark, rows[name], new_table, name), rows))
+    assert loaded == [100, 101, 102, 103]
+    assert {r["source_file"]: r["row_count"] for r in table.rows_by_source(spark, new_table).collect()} == dict(zip(rows, loaded))
+    assert sorted(r["match_id"] for r in spark.table(new_table).select("match_id").collect()) == list(range(1, 407))
+    # Each source has a run of ids of its own.
+    ends = spark.table(new_table).groupBy("source_file").agg((F.max("match_id") - F.min("match_id") + 1).alias("ids"), F.count("*").alias("n"))
+    assert all(r["ids"] == r["n"] for r in ends.collect())
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_claims_by_many_writers(spark, valid, new_table):
+    assert table.load_matches(spark, valid, new_table, "a.csv") == 2
+    with ThreadPoolExecutor(8) as pool:
+        starts = list(pool.map(lambda n: (table.claim_ids(spark, new_table, n), n), [3, 1, 4, 1, 5, 9, 2, 6]))
+    at = 3
+    for start, n in sorted(starts):
+        assert start == at
+        at += n
+    assert table.claim_ids(spark, new_table, 1) == 34
+
+
+def test_ids_go_on_where_a_table_without_claims_ends(spark, valid, new_table):
+    table.load_matches(spark, valid, new_table, "a.csv")
+    files.delete(spark, f"{table.table_location(spark, new_table)}/_match_ids")
+    table.load_matches(spark, valid, new_table, "b.csv")
+    assert sorted(r["match_id"] for r in spark.table(new_table).collect()) == [1, 2, 3, 4]
+
+
+def test_a_file_is_created_once_and_whole(spark, tmp_path):
+    path = str(tmp_path / "deep" / "claim")
+    assert files.create_whole(spark, path, b"12") and not files.create_whole(spark, path, b"7")
+    assert files.head(spark, path) == b"12" and files.names(spark, str(tmp_path / "deep")) == ["claim"]
+    assert files.names(spark, str(tmp_path / "none")) == []
+
+
+def test_a_session_option_held_by_two(spark):
+    name = "spark.sql.sources.partitionOverwriteMode"
+    first, second = (session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic") for _ in range(2))
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(name) == "dynamic"
+    with pytest.raises(RuntimeError, match="held at dynamic"), session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
+        pass
+    second.__exit__(None, None, None)
+    assert spark.conf.get(name).lower() == "static"
+
+
 def test_repeated_load_is_rejected_and_changes_nothing(spark, valid, new_table):
     table.load_matches(spark, valid, new_table, "a.csv")
     before = as_dicts(spark.table(new_table).orderBy("match_id"))
@@ -338,7 +392,7 @@ def test_broken_rows_load_nothing_and_keep_the_old(spark, make, new_table, defec
     with pytest.raises(ValueError, match="not valid for loading: "):
         table.load_matches(spark, make([changed(VALID[0], **defect), VALID[1]]), new_table, "a.csv", replace=True)
     assert spark.table(new_table).count() == 2
-    # The sequence is in doubt after a failed load and is worked out again.
+    # A refused load has claimed no ids.
     assert table.load_matches(spark, make(), new_table, "b.csv") == 2
     assert spark.table(new_table).agg(F.count_distinct("match_id")).first()[0] == 4
 

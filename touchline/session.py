@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -48,18 +49,37 @@ def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> s
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_conf_lock = threading.Lock()
+_conf_held: dict[tuple[int, str], tuple[int, str, str | None]] = {}  # (session, name) to holders, value, value before
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set session options (dots written as double underscores) and put the old values back."""
+    """Set session options (dots written as double underscores) and put the old values back.
+
+    Several threads may hold the same value in one session at once; the last one puts the old value back. A thread that wants
+    another value meanwhile gets an error.
+    """
     names = {key.replace("__", "."): value for key, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in names}
-    for key, value in names.items():
-        spark.conf.set(key, value)
+    taken = []
     try:
+        for name, value in names.items():
+            key = (id(spark), name)
+            with _conf_lock:
+                holders, held, before = _conf_held.get(key, (0, value, spark.conf.get(name, None)))
+                if held != value:
+                    raise RuntimeError(f"{name} is held at {held} by another thread")
+                spark.conf.set(name, value)
+                _conf_held[key] = (holders + 1, value, before)
+            taken.append(key)
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        for key in taken:
+            with _conf_lock:
+                holders, value, before = _conf_held.pop(key)
+                if holders > 1:
+                    _conf_held[key] = (holders - 1, value, before)
+                elif before is None:
+                    spark.conf.unset(key[1])
+                else:
+                    spark.conf.set(key[1], before)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable
@@ -55,6 +56,36 @@ def head(spark: SparkSession, path: str, size: int = 1 << 16) -> bytes:
         stream.close()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly inside a folder, sorted; none if there is no folder."""
+    fs, target = _resolve(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile()) if fs.exists(target) else []
+
+
+def create_whole(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Make a file that nobody ever sees half written; False, with nothing changed, if there is one of that name.
+
+    The content is written beside it and then given the name, by a hard link on local disks and by a rename elsewhere. HDFS refuses a
+    rename onto a file. A store whose rename overwrites cannot tell two writers apart.
+    """
+    fs, target = _resolve(spark, path)
+    beside = sibling(path, "new")
+    fs.mkdirs(target.getParent())
+    _, beside_path = _resolve(spark, beside)
+    stream = fs.create(beside_path, False)
+    stream.write(bytearray(content))
+    stream.close()
+    try:
+        if fs.getScheme() != "file":
+            return not fs.exists(target) and fs.rename(beside_path, target)
+        os.link(beside_path.toUri().getPath(), target.toUri().getPath())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(beside_path, False)
+
+
 def literal(path: str) -> str:
     """The path with the signs escaped that Spark would take as a pattern."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +19,8 @@ from touchline.session import scratch_path, session_conf
 from touchline.sources import files
 from touchline.sources.csv import read_matches_csv
 
-_NEXT_ID = "touchline.next_match_id"
-_IN_DOUBT = "in doubt"
+_CLAIMS = "_match_ids"  # a hidden folder of the table, which scans skip
+_CLAIM_TRIES = 1000
 
 
 class DataUnavailable(RuntimeError):
@@ -181,11 +181,13 @@ def load_matches(
     scratch: str | None = None,
 ) -> int:
     """Load one source; returns its row count. A source already present needs replace=True, which
-    replaces its rows and no others. All or nothing.
+    replaces its rows and no others. All or nothing. Loads of different sources may run at once, also from several drivers;
+    two loads of one source at once are not told apart.
 
     One pass over the input: constraints are checked inside the write of a staged copy (in scratch, else the folder of
     spark.checkpoint.dir). A broken row fails the job; the rules then run to say what was wrong. The staged rows get ids
-    without gaps and move into the table in a second write, which Spark only shows at job commit.
+    without gaps and move into the table in a second write, which Spark only shows at job commit. Their ids are claimed between the
+    two, when their number is known; only if the second write fails do they stay unused.
     by_date sorts each written file, so date ranges skip row groups.
     """
     problems = _schema_problems(df)
@@ -195,7 +197,6 @@ def load_matches(
     if present and not replace:
         raise ValueError(C.MSG_SOURCE_LOADED.format(source_file))
 
-    first_id = _next_id(spark, table)
     # The check sits in a column of the write, not in a filter: a filter would be pushed below the input's
     # own projections and repeat their work.
     ready = _with_helpers(df)
@@ -216,13 +217,12 @@ def load_matches(
             raise
         loaded = seen.get["rows"]
         _reject([] if loaded else [C.MSG_EMPTY])
+        first_id = claim_ids(spark, table, loaded)
         rows = _numbered(spark.read.schema(checked.schema).parquet(staged), first_id).select(*C.TABLE_SCHEMA.names)
         if by_date:
             rows = rows.sortWithinPartitions("source_file", "match_date")
-        _set_next_id(spark, table, _IN_DOUBT)
         with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
             rows.write.insertInto(table, overwrite=True)
-        _set_next_id(spark, table, str(first_id + loaded))
         return loaded
     finally:
         if files.exists(spark, staged):
@@ -248,19 +248,28 @@ def _schema_problems(df: DataFrame) -> list[str]:
     return [] if parsing.is_date(df.schema["date"].dataType) else [C.MSG_DATE_TYPE]
 
 
-def _next_id(spark: SparkSession, table: str) -> int:
-    """First free match_id. Kept as a table property, like a sequence, so a load need not scan the table;
-    the scan only runs when the last load did not finish. Loads run one at a time.
-    """
-    kept = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(_NEXT_ID)
-    if kept and kept != _IN_DOUBT:
-        return int(kept)
-    last = spark.table(table).agg(F.max("match_id").alias("last")).first()["last"]
-    return 1 if last is None else last + 1
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
 
 
-def _set_next_id(spark: SparkSession, table: str, value: str) -> None:
-    try:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_NEXT_ID}' = '{value}')")
-    except AnalysisException as error:
-        raise RuntimeError(f"Cannot keep the id sequence on table {table}") from error
+def claim_ids(spark: SparkSession, table: str, n: int) -> int:
+    """Take the next n match_ids for the caller alone; returns the first.
+
+    Claims are numbered files in a hidden folder of the table, each holding the first id after it. A claim is made by creating the
+    file with the next number; if another writer was faster, the number is taken and the claim starts from theirs. Loads so need
+    no lock and no scan; the table is only scanned for its largest id while there are no claims yet. Claims stay, one of a few bytes per
+    load: a number that were free again could be claimed twice.
+    """
+    folder = f"{table_location(spark, table)}/{_CLAIMS}"
+    for _ in range(_CLAIM_TRIES):
+        numbers = [name for name in files.names(spark, folder) if name.isdigit()]
+        if numbers:
+            start = int(files.head(spark, f"{folder}/{numbers[-1]}"))
+        else:
+            last = spark.table(table).agg(F.max("match_id").alias("last")).first()["last"]
+            start = 1 if last is None else last + 1
+        number = int(numbers[-1]) + 1 if numbers else 1
+        if files.create_whole(spark, f"{folder}/{number:020d}", str(start + n).encode()):
+            return start
+    raise RuntimeError(f"Could not claim ids of table {table}: {_CLAIM_TRIES} times another writer was faster")
