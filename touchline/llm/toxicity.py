@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import arrow_rows, in_tasks
+from touchline.llm.common import arrow_rows, in_tasks, stored
 
 SAMPLE = 8000
 FEATURES = 1000
@@ -151,15 +151,17 @@ def learnable(id_col: Column) -> Column:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
     """Fit on at most `sample` labelled texts (those whose id hashes lowest, equal texts once); the feature counts are over all docs.
 
-    Labels other than 0 and 1, labels of absent documents and null ids are left out. Without any usable label every score is 0.5
+    Labels other than 0 and 1, labels of absent documents and null ids are left out. An id with both labels counts as toxic; of equal
+    texts (null and empty are equal) the one with the smallest id gives the label. The sample is stored once. Without any usable label every score is 0.5
     times one half. The driver receives the kept features (at most FEATURES) and, per example, its few kept features.
     """
     usable = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("toxic")).filter(
         F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & learnable(F.col("id"))
     )
-    chosen = usable.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = usable.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    examples = texts.join(F.broadcast(chosen), "id").dropDuplicates(["text"])
+    sampled = texts.join(F.broadcast(chosen), "id").groupBy(F.coalesce("text", F.lit("")).alias("text"))
+    examples = stored(sampled.agg(F.min(F.struct("id", "toxic")).alias("first")).select("first.id", "first.toxic", "text"), "examples")
 
     def candidates(batches):
         counts: dict[str, list[int]] = {}
@@ -215,7 +217,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["id", "toxic", "features", "counts"],
             )
 
-    kept = in_tasks(examples.select("id", "toxic", "text"), sparse, "id bigint, toxic int, features array<int>, counts array<int>").orderBy("id").collect()
+    kept = in_tasks(examples.select("id", "toxic", "text"), sparse, "id bigint, toxic int, features array<int>, counts array<int>").collect()
+    kept.sort(key=lambda r: (r["id"], sorted(zip(r["features"], r["counts"]))))  # an id may have several texts
     bags = [dict(zip(r["features"], r["counts"])) for r in kept]
     model = ToxicityModel(vocabulary, idf, BlockMaxIndex.build([], [], [], width), prior, prior)
     full = [i for i, bag in enumerate(bags) if bag]
@@ -229,7 +232,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 
 def toxicity_of(text: Column, model: ToxicityModel) -> Column:
-    """A struct per text: score (0 to 1), neighbours (ids of the nearest examples, nearest first) and matched (kept features held)."""
+    """A struct per text: score (0 to 1), neighbours (ids of all examples that voted, nearest first) and matched (kept features held)."""
     kind = "score double, neighbours array<bigint>, matched array<string>"
     names = list(model.vocabulary)
 
@@ -241,7 +244,7 @@ def toxicity_of(text: Column, model: ToxicityModel) -> Column:
             counts = term_counts(t.as_py(), known)
             vote, places = model.vote(counts)
             scores.append(model.calibrated(vote))
-            neighbours.append(model.index.ids[places[:5]].tolist())
+            neighbours.append(model.index.ids[places].tolist())
             matched.append([names[f] for f in sorted(counts)][:5])
         return pa.StructArray.from_arrays(
             [pa.array(scores, pa.float64()), pa.array(neighbours, pa.list_(pa.int64())), pa.array(matched, pa.list_(pa.string()))],
@@ -269,5 +272,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score is below the threshold, with all their columns."""
+    """The documents whose score is below the threshold, with all their columns.
+
+    Null and empty texts have the score of examples without features; repeated rows stay or go together; an empty table stays empty.
+    """
     return docs.filter(toxicity_of(F.col(text_col), model)["score"] < threshold)
