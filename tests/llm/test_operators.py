@@ -1,6 +1,7 @@
 """Every operator on a table of awkward rows and on an empty one, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -8,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -224,7 +226,11 @@ def test_packing(docs, empty, monkeypatch):
     assert packing.pack_documents(empty, 64, path, 0).count() == 0
 
 
-def test_exact_dedup(docs, empty):
+@pytest.mark.parametrize("hot_share", [None, 1000, 3])  # broadcast joins; shuffled ones with every repeated key hot, with hardly any
+def test_exact_dedup(docs, empty, monkeypatch, hot_share):
+    if hot_share:
+        monkeypatch.setattr(exact_dedup, "bounded", lambda small: small)
+        monkeypatch.setattr(exact_dedup, "HOT_SHARE", hot_share)
     found = exact_dedup.exact_duplicates(docs).collect()
     groups = defaultdict(list)
     for doc_id, text in TEXTS:
@@ -243,6 +249,28 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.exact_duplicates(empty).count() == 0 and exact_dedup.drop_exact_duplicates(empty).count() == 0
 
 
+def test_a_hot_text_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "bounded", lambda small: small)
+    many = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") / 2).cast("bigint").alias("fp"), "id")
+    few = many.groupBy("fp").agg(F.count("*").alias("copies"))
+    joined = exact_dedup.join_hot(many, few, ["fp"], "copies", 30_000)
+    assert joined.columns == ["fp", "id", "copies"] and joined.count() == 30_000
+    assert joined.filter("fp = -1").agg(F.count_distinct("id"), F.min("copies"), F.max("copies")).first() == (10_000, 10_000, 10_000)
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        tasks = exact_dedup.join_hot(many, few, ["fp"], "copies", 30_000).filter("fp = -1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 10_000
+
+
+def test_of_rows_that_repeat_id_and_text_the_choice_is_fixed(spark):
+    rows = [(1, "Same", n, "x") for n in range(9)] + [(2, "other", 0, None)]
+    kept = {tuple(exact_dedup.drop_exact_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string, row int, keep string").repartition(n)).orderBy("doc_id").first()) for n in (1, 3, 7)}
+    assert len(kept) == 1
+
+
 def test_line_dedup(docs, empty, spark):
     found = by_doc(line_dedup.dedup_lines(docs).collect())
     assert found[14][0]["n_dropped"] == 0 and found[14][0]["n_lines"] == 3
@@ -286,19 +314,126 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def plain_toxicity(docs, labels, model):
+    """Scores by the cosine with every example, with dicts alone. The kept features and the calibration are the model's."""
+    held = Counter()
+    bags = {}
+    for text in {t or "" for _, t in docs}:
+        bag = Counter(f for chunk in text.lower().split() for f in toxicity.features_of(chunk) if f in model.vocabulary)
+        bags[text] = bag
+    for _, text in docs:
+        held.update(bags[text or ""].keys())
+    idf = {f: math.log((1 + len(docs)) / (1 + held[f])) + 1 for f in model.vocabulary}
+
+    def vector(bag):
+        weights = {f: (1 + math.log(n)) * idf[f] for f, n in bag.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        return {f: w / norm for f, w in weights.items()}
+
+    label = defaultdict(int)
+    for i, toxic in labels:
+        if i is not None and toxic in (0, 1) and zlib.crc32(str(i).encode()) % 3 != 1:
+            label[i] = max(label[i], toxic)
+    first = {}
+    for i, text in docs:
+        if i in label:
+            first[text or ""] = min(first.get(text or "", (i, label[i])), (i, label[i]))
+    toxic = sum(t for _, t in first.values())
+    prior = (toxic + 0.5) / (len(first) + 1)
+    bare = [t for text, (_, t) in first.items() if not bags[text]]
+    examples = [(i, t, vector(bags[text])) for text, (i, t) in first.items() if bags[text]]
+    scores = {}
+    for text, bag in bags.items():
+        vote = (sum(bare) + prior) / (len(bare) + 1)
+        if bag:
+            own = vector(bag)
+            near = [(-round(sum(w * e.get(f, 0) for f, w in own.items()), 12), i, t) for i, t, e in examples]
+            near = sorted(n for n in near if n[0] < 0)[: toxicity.NEIGHBOURS]
+            vote = (sum(c * c * t for c, _, t in near) + prior * 0.5) / (sum(c * c for c, _, _ in near) + 0.5)
+        scores[text] = model.calibrated(vote)
+    return scores
+
+
+def tables(spark, sf_dir):
+    read = lambda name, *columns: [tuple(r) for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns).collect()]
+    return read("documents", "doc_id", "text"), read("labels", "doc_id", "toxic")
+
+
+def test_toxicity_against_every_example(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels)
+    want = plain_toxicity(*tables(spark, sf_dir), model)
+    found = toxicity.score_toxicity(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect()
+    assert len(found) == 1000 and len({r["score"] for r in found}) > 30
+    assert all(math.isclose(r["score"], want[r["text"] or ""], abs_tol=1e-9) for r in found)
+    assert max(len(r["neighbours"]) for r in found) > 5
+
+
+def test_toxicity_with_contradicting_labels(spark):
+    rows = [(i, f"calm words here number{i % 90} and more" if i % 5 else f"you vilest{i % 7} rotten person number{i % 60}") for i in range(300)]
+    labels = [(i, int(i % 5 == 0)) for i in range(300)] + [(i, i % 2) for i in range(0, 300, 7)] + [(i, 1 - i % 2) for i in range(0, 300, 11)]
+    corpus, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = []
+    for parts in (1, 2, 7):
+        model = toxicity.fit_toxicity(corpus.repartition(parts), marks.repartition(parts))
+        found.append((model.prior, toxicity.score_toxicity(corpus, model).select("doc_id", "score").orderBy("doc_id").collect()))
+    assert found[0] == found[1] == found[2]
+    want = plain_toxicity(rows, labels, model)
+    assert all(math.isclose(r["score"], want[rows[r["doc_id"]][1]], abs_tol=1e-9) for r in found[0][1])
+
+
+def plain_shingles(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if w]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
     sf_dir = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        left = stage(spark, docs, sf_dir)
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    docs = docs.withColumn("more", F.lit(1))  # stages keep what else a table has
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "exact dedup", "n-gram Jaccard join", "packing"]
+
+    rows, marks = tables(spark, sf_dir)
+    scores = plain_toxicity(rows, marks, toxicity.fit_toxicity(docs, labels))
+    mild = {i: t for i, t in rows if scores[t or ""] < toxicity.THRESHOLD}
+    last = {}
+    for i, text in mild.items():
+        norm = (text or "").translate(LOWER)
+        last[norm] = max(i, last.get(norm, i))
+    single = {i: mild[i] for i in last.values()}
+    sets = {i: plain_shingles(t) for i, t in single.items()}
+    forest = {i: i for i in single}
+
+    def root(i):
+        while forest[i] != i:
+            i = forest[i]
+        return i
+
+    for i in single:
+        for j in single:
+            if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                forest[b] = a
+    apart = {i: t for i, t in single.items() if root(i) == i}
+    assert len(apart) < len(single) < len(mild)
+
+    left = docs
+    for (_, stage), want in zip(corpus_pipeline.STAGES, (mild, single, apart)):
+        left = stage(spark, left, sf_dir)
         assert left.columns == docs.columns
-        ids = {r["doc_id"] for r in left.select("doc_id").collect()}
-        before = docs.count()
-        assert left.count() == len(ids) <= before
-        docs = docs.filter(F.col("doc_id").isin(list(ids)))
-    texts = {r["text"].translate(LOWER) for r in docs.collect()}
-    assert len(texts) == docs.count()
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
-    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == ids
+        assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted(want.items())
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces_of = by_doc(corpus_pipeline.run(spark, sf_dir).collect())
+    assert set(pieces_of) == set(apart)
+    for i, text in apart.items():
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        at = 0
+        for r in sorted(pieces_of[i], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)

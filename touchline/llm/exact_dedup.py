@@ -8,6 +8,7 @@ is above one send their documents to a comparison of the texts themselves; all o
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,7 @@ from touchline.llm.common import bounded, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FILTER_ROWS = 1 << 18
+HOT_SHARE = 1000  # a key is hot if more than one in so many rows hold it, so there are fewer hot keys than that
 
 
 def normalised(text: Column) -> Column:
@@ -148,6 +150,28 @@ def _by_block(values: np.ndarray, block_bits: int):
         yield int(block[a]), values[a:b] & low
 
 
+def join_hot(many: DataFrame, few: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """many joined with few, whose keys are unique and whose column `size` says how many of the `total` rows of many hold each.
+
+    A small table is broadcast. Else both are shuffled, and the rows of a hot key are dealt, by their place in the scan, to as many tasks
+    as its share of the rows asks for, each with a copy of its one row. Hot keys are fewer than HOT_SHARE whatever the input, so
+    broadcasting which they are is safe.
+    """
+    small = bounded(few)
+    if small is not few:
+        return many.join(small, keys, how)
+    tag = uuid.uuid4().hex
+    tasks, salt = f"tasks_{tag}", f"salt_{tag}"
+    parts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col(size) * HOT_SHARE > total
+    counted = few.withColumn(tasks, F.when(is_hot, F.ceil(F.col(size) * parts / total)).otherwise(1))
+    hot = F.broadcast(counted.filter(is_hot).select(*keys, tasks))
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce(tasks, F.lit(1)))
+    salted = many.join(hot, keys, "left").withColumn(salt, dealt).drop(tasks)
+    copies = counted.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(tasks) - 1))).drop(tasks)
+    return salted.join(copies, [*keys, salt], how).drop(salt)
+
+
 def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     norm = normalised(F.col(text_col))
     return docs.withColumns({"_norm": norm, "_fp": F.xxhash64(norm), "_sha": F.unhex(F.sha2(norm, 256))})
@@ -164,14 +188,15 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = stored(
         keyed.select("doc_id", F.col("_fp").alias("fp"), F.col("_sha").alias("sha"), F.monotonically_increasing_id().alias("row_key")), "fingerprints"
     )
-    repeated = bounded(stored(repeated_fingerprints(rows), "repeated"))
+    total = rows.count()
+    repeated = stored(repeated_fingerprints(rows), "repeated")
     texts = keyed.select(F.col("_fp").alias("fp"), F.col("_sha").alias("sha"), F.col("_norm").alias("norm"))
     verified = (
-        texts.join(repeated.select("fp"), "fp")
+        join_hot(texts, repeated, ["fp"], "copies", total)
         .groupBy("fp", "sha", "norm").agg(F.count("*").alias("n"))
         .groupBy("fp", "sha").agg(F.count("*").alias("variants"), F.sum("n").alias("group_size"))
     )
-    kept = rows.join(repeated.select("fp"), "fp").groupBy("fp", "sha").agg(F.max(F.struct("doc_id", "row_key")).alias("keep"))
+    kept = join_hot(rows, repeated, ["fp"], "copies", total).groupBy("fp", "sha").agg(F.max(F.struct("doc_id", "row_key")).alias("keep"))
     one_text = F.when(F.col("variants") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")))
     classes = verified.join(kept, ["fp", "sha"]).select("fp", "sha", "keep", one_text.alias("group_size"))
     return rows, stored(classes.filter("group_size > 1"), "classes")
@@ -185,7 +210,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     An empty table gives no row.
     """
     rows, classes = duplicate_classes(docs, id_col, text_col)
-    joined = rows.join(bounded(classes), ["fp", "sha"], "left")
+    joined = join_hot(rows, classes, ["fp", "sha"], "group_size", rows.count(), "left")
     return joined.select(
         "doc_id",
         F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
@@ -196,13 +221,18 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. Texts do not move unless they belong to a repeated id and text."""
-    _, classes = duplicate_classes(docs, id_col, text_col)
+    """The documents that stay, with all their columns; an empty table stays empty.
+
+    Of rows that repeat id and text the one whose columns hash lowest stays, equal hashes being equal rows but for a collision. Texts do
+    not move unless they belong to a repeated id and text, or the repeated texts are too many for a broadcast.
+    """
+    rows, classes = duplicate_classes(docs, id_col, text_col)
     norm = normalised(F.col(text_col))
     names = docs.columns
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.xxhash64(norm).alias("fp"), F.unhex(F.sha2(norm, 256)).alias("sha"))
-    joined = keyed.join(bounded(classes), ["fp", "sha"], "left")
+    joined = join_hot(keyed, classes, ["fp", "sha"], "group_size", rows.count(), "left")
     single = joined.filter("keep is null").select("row.*")
-    # Usually one row per class; a row that repeats both id and text is told apart by nothing but its place.
-    of_class = joined.filter("keep is not null and keep.doc_id <=> id").dropDuplicates(["fp", "sha"]).select("row.*")
+    # Usually one row per class. Text and names of columns may be anything, so the hash is of the row's JSON form.
+    place = F.xxhash64(F.to_json("row"))
+    of_class = joined.filter("keep is not null and keep.doc_id <=> id").groupBy("fp", "sha").agg(F.min_by("row", place).alias("row")).select("row.*")
     return single.unionByName(of_class)
