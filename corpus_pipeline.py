@@ -8,23 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.llm import exact_dedup, jaccard_join, packing, toxicity
 from touchline.llm.common import stored, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic at the threshold of the operator go; the model is fitted on labels of documents that are there."""
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.drop_toxic(docs, model).select(COLUMNS)
+    return toxicity.drop_toxic(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    return exact_dedup.drop_exact_duplicates(docs).select(COLUMNS)
+    return exact_dedup.drop_exact_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked texts the document with the smallest id stays."""
-    return jaccard_join.drop_near_duplicates(docs).select(COLUMNS)
+    return jaccard_join.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +37,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Scores and tokens cannot be had in SQL; tests compare columns, ids and counts of the stages.
+# Scores and tokens cannot be had in SQL; tests compare the kept rows of every stage, and run()'s pieces, with plain Python.
 ORACLE_SQL = None
 
 
