@@ -456,6 +456,14 @@ UNION ALL SELECT 'text date', 'V6', 'warning', 'away_score', COUNT(*), 'Column '
 FROM enriched WHERE away_score > 20 HAVING COUNT(*) > 0
 UNION ALL SELECT 'no tournament', 'V2', 'error', NULL, 1, 'Missing required columns: tournament.'
 UNION ALL SELECT 'no rows', 'V1', 'error', NULL, 1, 'DataFrame is empty.'""",
+        "rollup_validation": f"""{ENRICHED}
+SELECT 'V6' AS rule_id, 'warning' AS severity, 'home_score' AS "column", COUNT(*) AS violations,
+       'Column ''home_score'' contains suspiciously large scores above 20.' AS message
+FROM enriched WHERE home_score > 20 HAVING COUNT(*) > 0
+UNION ALL SELECT 'V6', 'warning', 'away_score', COUNT(*), 'Column ''away_score'' contains suspiciously large scores above 20.'
+FROM enriched WHERE away_score > 20 HAVING COUNT(*) > 0
+UNION ALL SELECT 'V10', 'warning', 'date', COUNT(*), 'Some match dates are in the future.'
+FROM enriched WHERE date > DATE '1998-01-01' HAVING COUNT(*) > 0""",
         "load_ids": MATCHES
         + " SELECT 2 * COUNT(*) AS row_count, CAST(1 AS BIGINT) AS first_id, 2 * COUNT(*) AS last_id, 2 * COUNT(*) AS distinct_ids FROM matches",
         "enrich_matches": f"{ENRICHED} SELECT * FROM enriched",
@@ -609,4 +617,5 @@ UNION ALL SELECT year, matches, goals_for, goals_against, 'losses', losses FROM
         " goal_difference, tournament, country FROM slice"
         " ORDER BY goal_difference DESC, total_goals DESC, date DESC, match_id LIMIT 10",
     }
-    return found | {"open_matches_file": found["most_successful_teams"], "standardize_layouts": found["standardize_job"]}
+    found |= {"open_matches_file": found["most_successful_teams"], "standardize_layouts": found["standardize_job"]}
+    return found | {f"rollup_{name}": found[name] for name in ("home_advantage", "team_ranking", "tournament_summary")}

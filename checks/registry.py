@@ -15,7 +15,7 @@ from touchline.functions.text import strip_strings
 from touchline.operators import filters, profile, quality, reshape, standardize
 from touchline.operators.enrich import enrich_matches
 from touchline.operators.mapping import apply_mapping, mapping_report
-from touchline.plans import facts, jobs, reports, views
+from touchline.plans import facts, jobs, reports, rollups, views
 from touchline.session import scratch_path
 from touchline.sources import csv, outputs, table
 
@@ -154,6 +154,20 @@ def _rows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.rows_by_source(spark, name)
 
 
+def _summed(kinds: tuple[str, ...], fn: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """A report from sums per source: of one source first, then of a second one that was loaded next to it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = _new_table(spark)
+        rows = _contract_rows(spark, sf_dir)
+        for source, part in {"first.csv": rows.filter("neutral"), "second.csv": rows.filter("neutral IS NOT TRUE")}.items():
+            table.load_matches(spark, part, name, source)
+            rollups.refresh(spark, name, kinds)
+        return fn(spark, name)
+
+    return query
+
+
 def _open_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _new_table(spark)
     table.load_matches(spark, _contract_rows(spark, sf_dir), name, "season.csv")
@@ -241,6 +255,10 @@ def queries() -> dict[str, Query]:
         "standardize_job": _standardize_job,
         "load_matches": _load_matches,
         "rows_by_source": _rows_by_source,
+        "rollup_home_advantage": _summed(("venues",), rollups.home_advantage),
+        "rollup_team_ranking": _summed(("teams",), rollups.team_ranking),
+        "rollup_tournament_summary": _summed(("tournaments",), rollups.tournament_summary),
+        "rollup_validation": _summed(("rules", "days"), lambda s, name: rollups.validate_table(s, name, AS_OF)),
         "open_matches": _open_matches,
         "open_matches_file": _open_matches_file,
         "load_ids": _load_ids,

@@ -13,6 +13,7 @@ from touchline import contract as C
 from touchline.operators import quality
 from touchline.operators.profile import column_profile, dataset_profile
 from touchline.operators.standardize import AUDIT_SCHEMA, audit_from, audit_lines, final_columns, plan_standardization
+from touchline.plans import rollups
 from touchline.session import scratch_path
 from touchline.sources import files
 from touchline.sources.csv import scan_errors, read_matches_csv
@@ -91,11 +92,19 @@ def write_audit(audit: DataFrame, path: str, overwrite: bool = True) -> None:
     write_output(audit_lines(audit), path, overwrite)
 
 
-def load_job(spark: SparkSession, path: str, table: str = "matches", replace: bool = False, **scan) -> int:
-    """Load a standardised CSV under its file name; returns the number of rows loaded. scan takes the options of the scan."""
+def load_job(
+    spark: SparkSession, path: str, table: str = "matches", replace: bool = False, summarize: bool = False, **scan
+) -> int:
+    """Load a standardised CSV under its file name; returns the number of rows loaded. scan takes the options of the scan.
+
+    summarize=True brings the table's sums per source up to date, which reads the loaded source only.
+    """
     with scan_errors():
         df = read_matches_csv(spark, path, **scan)
-        return load_matches(spark, df, table, files.base_name(path), replace)
+        loaded = load_matches(spark, df, table, files.base_name(path), replace)
+    if summarize:
+        rollups.refresh(spark, table)
+    return loaded
 
 
 def profile_job(

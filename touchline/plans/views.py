@@ -258,7 +258,7 @@ def team_table(matches: DataFrame) -> DataFrame:
     """Per team: results, goals, goal difference, win rate and mean goals, unordered."""
     won, lost = F.col("goals_for") > F.col("goals_against"), F.col("goals_for") < F.col("goals_against")
     drawn = ~(F.coalesce(won, F.lit(False)) | F.coalesce(lost, F.lit(False)))
-    return (
+    tallies = (
         team_sides(matches)
         .filter(F.col("team").isNotNull())
         .groupBy("team")
@@ -270,17 +270,26 @@ def team_table(matches: DataFrame) -> DataFrame:
             F.coalesce(F.sum("goals_for"), F.lit(0)).alias("goals_for"),
             F.coalesce(F.sum("goals_against"), F.lit(0)).alias("goals_against"),
         )
-        .select(
-            "*",
-            (F.col("goals_for") - F.col("goals_against")).alias("goal_difference"),
-            pct(F.col("wins"), F.col("matches")).alias("win_rate"),
-            ratio(F.col("goals_for"), F.col("matches")).alias("avg_goals_for"),
-        )
+    )
+    return with_team_rates(tallies)
+
+
+def with_team_rates(tallies: DataFrame) -> DataFrame:
+    """Add goal difference, win rate and mean goals to sums per team."""
+    return tallies.select(
+        "*",
+        (F.col("goals_for") - F.col("goals_against")).alias("goal_difference"),
+        pct(F.col("wins"), F.col("matches")).alias("win_rate"),
+        ratio(F.col("goals_for"), F.col("matches")).alias("avg_goals_for"),
     )
 
 
 def team_ranking(matches: DataFrame) -> DataFrame:
-    return team_table(matches).orderBy(down("wins"), down("matches"), up("team"))
+    return ranked_teams(team_table(matches))
+
+
+def ranked_teams(teams: DataFrame) -> DataFrame:
+    return teams.orderBy(down("wins"), down("matches"), up("team"))
 
 
 def top_teams_by_wins(matches: DataFrame, limit: int = 20) -> DataFrame:
